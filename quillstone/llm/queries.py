@@ -6,11 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillstone.llm import mixing, packing, quality, tokencount, urls
+from quillstone.llm import mixing, packing, quality, secrets, tokencount, toxicity, urls
 from quillstone.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model).withColumn("held_out", held_out)
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -64,6 +76,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
