@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm import fingerprint, linededup, mixing, packing, quality, secrets, tokencount, toxicity, urls
+from quillstone.llm import fingerprint, linededup, mixing, ngramjoin, packing, quality, secrets, tokencount, toxicity, urls
 from quillstone.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_cut")
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,
+    "op5_ngram_join": op5_ngram_join,
     "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
