@@ -82,3 +82,16 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     finish = F.try_divide((before + F.col("size")).cast("double"), F.col("target"))
     out = rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), finish.alias("finish"))
     return out.orderBy(F.col("finish").asc_nulls_last(), F.col("source").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
+
+
+def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
+    """docs(doc_id, text, source, ...), each row as often as the mix takes the document: whole copies, the cut one too.
+
+    Rows of equal doc_id and source come as often as the most taken of them.
+    """
+    taken = mix(docs.select("doc_id", "text", "source"), rules).filter("taken > 0")
+    taken = taken.withColumn("_copies", F.ceil(F.col("taken") / F.col("size")).cast("int"))
+    taken = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_from")).agg(F.max("_copies").alias("_copies"))
+    same = docs["doc_id"].eqNullSafe(taken["_id"]) & docs["source"].eqNullSafe(taken["_from"])
+    rows = docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return rows.select(*docs.columns)

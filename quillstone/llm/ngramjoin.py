@@ -233,6 +233,20 @@ def jaccard_join(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
     return out.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "copy_id", "class_id", "n_links")
 
 
+def one_of_each_class(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
+    """docs(doc_id, text, ...) without the documents that are linked, by way of others too, to one of lower doc_id.
+
+    Few dropped ids are broadcast, many are joined by shuffling both sides. Rows with a null id stay, as do all rows of
+    an id that stays.
+    """
+    scratch = Scratch(docs.sparkSession, "ngramjoin-kept")
+    found = jaccard_join(docs.select("doc_id", "text"), rules)
+    gone = found.filter("doc_id <> class_id").select("doc_id").distinct()
+    gone = scratch.save(gone, "gone")
+    small = gone.count() <= rules.broadcast_rows
+    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def _links(docs: DataFrame, classes: DataFrame, rules: JoinRules, scratch: Scratch) -> DataFrame:
     """(node, links, near) of the classes that share a band with another."""
     bands = classes.select("node", F.explode("bands").alias("band"))

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quillstone.llm.common import WHITESPACE, map_slices
+from quillstone.llm.common import SLICE_ROWS, WHITESPACE, map_slices
 from quillstone.llm.wordhash import SHINGLE_WORDS, shingle_hashes, word_bounds, word_hashes
 
 SYMBOLS = "#*$%&|<>"
@@ -121,6 +123,20 @@ def measure(text: str | None, rules: QualityRules, zstd: zstandard.ZstdCompresso
     return n, chars, symbols, len(lines) - len(set(lines)), repeated, failed, ratio, min(ratios), max(ratios), fits and not failed
 
 
+def keep_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """The rows of docs(text, ...) that the rules keep, with all their columns; cases as in quality_rules()."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zstd = zstandard.ZstdCompressor(level=rules.level)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                kept = [measure(x, rules, zstd)[-1] for x in part.column("text").to_pylist()]
+                yield part.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """One row a row of docs(doc_id, text), with counts, compression ratios and the verdict.
 
