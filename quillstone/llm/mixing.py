@@ -92,6 +92,7 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     taken = mix(docs.select("doc_id", "text", "source"), rules).filter("taken > 0")
     taken = taken.withColumn("_copies", F.ceil(F.col("taken") / F.col("size")).cast("int"))
     taken = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_from")).agg(F.max("_copies").alias("_copies"))
-    same = docs["doc_id"].eqNullSafe(taken["_id"]) & docs["source"].eqNullSafe(taken["_from"])
-    rows = docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return rows.select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & F.col("_row.source").eqNullSafe(F.col("_from"))
+    rows = rows.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return rows.select("_row.*")

@@ -141,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRul
     ids = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     ids = ids.groupBy(F.col("doc_id").alias("_id")).agg((F.max("toxic") > 0).cast("int").alias("label"))
     ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(rules.sample_rows)
-    rows = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
     rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).repartition(rules.sample_parts)
     rows = Scratch(docs.sparkSession, "toxicity").save(rows, "sample")
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
