@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.plans import performed
+from quillstone.plans import performed, relational
 
 FLAGSHIP = "grf07_performed_edges"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {FLAGSHIP: performed.performed_edges}
 ORACLE_SQL: dict[str, str] = {FLAGSHIP: performed.PERFORMED_SQL}
+
+for _module in (relational,):
+    QUERIES |= _module.QUERIES
+    ORACLE_SQL |= _module.ORACLE_SQL
