@@ -7,12 +7,13 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Fixed value: keys are cut to this many characters.
 KEY_CHARS = 512
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold(values: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks; null stays null."""
 
