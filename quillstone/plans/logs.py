@@ -34,8 +34,8 @@ def src20_request_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", request_fingerprint(F.lit("GET"), F.col("url"), F.lit(None).cast("string")).alias("request"))
 
 
-@query("""WITH o AS (SELECT l_orderkey AS k, sha256(CAST(count(*) FILTER (l_linenumber <= 2) AS VARCHAR)) AS h, count(*) FILTER (l_linenumber <= 2) AS v FROM lineitem WHERE l_orderkey % 3 > 0 GROUP BY 1),
-n AS (SELECT l_orderkey AS k, sha256(CAST(count(*) AS VARCHAR)) AS h, count(*) AS v FROM lineitem WHERE l_orderkey % 5 > 0 GROUP BY 1)
+@query("""WITH o AS (SELECT l_orderkey AS k, sha256(CAST(count(*) FILTER (l_linenumber <= 2) AS VARCHAR)) AS h, count(*) FILTER (l_linenumber <= 2) AS v FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1),
+n AS (SELECT l_orderkey AS k, sha256(CAST(count(*) AS VARCHAR)) AS h, count(*) AS v FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1)
 SELECT coalesce(o.k, n.k) AS external_id, CASE WHEN o.k IS NULL THEN n.v WHEN n.k IS NULL OR o.h = n.h THEN o.v ELSE n.v END AS name,
 CASE WHEN o.k IS NULL THEN 'r2' ELSE 'r1' END AS first_run, CASE WHEN n.k IS NULL THEN 'r1' ELSE 'r2' END AS last_run,
 CASE WHEN o.k IS NULL THEN 'new' WHEN n.k IS NULL THEN 'absent' WHEN o.h <> n.h THEN 'changed' ELSE 'same' END AS change FROM o FULL JOIN n USING (k)""")
@@ -43,17 +43,17 @@ def ing02_upsert(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem")
     hashed = lambda rows: rows.withColumn("hash", F.sha2(F.col("name").cast("string"), 256))
     key = F.col("l_orderkey").alias("external_id")
-    old = hashed(lines.filter("l_orderkey % 3 > 0").groupBy(key).agg(F.count_if(F.col("l_linenumber") <= 2).alias("name")))
+    old = hashed(lines.filter("l_linestatus = 'F'").groupBy(key).agg(F.count_if(F.col("l_linenumber") <= 2).alias("name")))
     old = old.withColumns({"first_run": F.lit("r1"), "last_run": F.lit("r1")})
-    new = hashed(lines.filter("l_orderkey % 5 > 0").groupBy(key).agg(F.count("*").alias("name"))).withColumn("run_id", F.lit("r2"))
+    new = hashed(lines.filter("l_returnflag <> 'A'").groupBy(key).agg(F.count("*").alias("name"))).withColumn("run_id", F.lit("r2"))
     return ingest.upsert(old, new, ["external_id"], ["name"]).drop("hash")
 
 
 @query("""SELECT doc_id % 40 AS subject, 'language' AS predicate, CAST(NULL AS VARCHAR) AS object, lang AS value, source FROM documents GROUP BY ALL""")
 def ing03_claims_append_only(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select(
-        "doc_id", (F.col("doc_id") % 40).alias("subject"), F.lit("language").alias("predicate"), F.lit(None).cast("string").alias("object"),
+        "n_chars", (F.col("doc_id") % 40).alias("subject"), F.lit("language").alias("predicate"), F.lit(None).cast("string").alias("object"),
         F.col("lang").alias("value"), "source",
     )
-    old = rows.filter("doc_id % 2 = 0").drop("doc_id").distinct()
-    return ingest.append_claims(old, rows.drop("doc_id"))
+    old = rows.filter("n_chars < 1000").drop("n_chars").distinct()
+    return ingest.append_claims(old, rows.drop("n_chars"))

@@ -210,13 +210,13 @@ def jon12_shared_key_pairs(spark: SparkSession, d: str) -> DataFrame:
     return R.shared_key_pairs(table(spark, d, "lineitem"), "l_suppkey", ["l_orderkey"], 6)
 
 
-@query("""WITH r AS (SELECT p_partkey AS id, p_partkey AS lo, p_partkey + p_size AS hi FROM part WHERE p_partkey % 7 = 0),
+@query("""WITH r AS (SELECT p_partkey AS id, p_partkey AS lo, p_partkey + p_size AS hi FROM part WHERE p_size > 40),
 m AS (SELECT p_partkey AS number, id, hi - lo AS width FROM part JOIN r ON p_partkey BETWEEN lo AND hi AND p_partkey <> id)
 SELECT number, arg_min(id, struct_pack(w := width, i := id)) AS parent FROM m GROUP BY 1""")
 def jon14_smallest_range(spark: SparkSession, d: str) -> DataFrame:
     """Ranges become members by explosion, so that containment is an equi-join."""
     part = table(spark, d, "part")
-    ranges = part.filter("p_partkey % 7 = 0").select(F.col("p_partkey").alias("id"), "p_size")
+    ranges = part.filter("p_size > 40").select(F.col("p_partkey").alias("id"), "p_size")
     members = ranges.select("id", "p_size", F.explode(F.sequence("id", F.col("id") + F.col("p_size"))).alias("number"))
     rows = members.filter("number <> id").join(part.select(F.col("p_partkey").alias("number")), "number")
     return rows.groupBy("number").agg(F.min_by("id", F.struct("p_size", "id")).alias("parent"))
