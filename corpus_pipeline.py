@@ -12,12 +12,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstone.deploy import ship
 from quillstone.llm import linededup, mixing, ngramjoin, packing, quality
 from quillstone.llm.common import Scratch, table, word_count
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    ship(spark)
     return quality.keep_quality(docs)
 
 
@@ -56,6 +58,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole documents table."""
+    ship(spark)
     scratch = Scratch(spark, "pipeline")
     docs, before = table(spark, sf_dir, "documents"), None
     for i, (_, stage) in enumerate(STAGES):
