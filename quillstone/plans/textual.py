@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import text as X
 from quillstone.plans.views import table
+from quillstone.sources import connectors
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -159,3 +160,21 @@ def jsn01_payload_fields(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select(
         "event_id", F.try_variant_get(raw, "$.k", "bigint").alias("k"), F.try_variant_get(raw, "$.missing", "string").alias("missing")
     )
+
+
+@query(r"""SELECT page_id, len(list_distinct(regexp_extract_all(html, '(?i)\bhref="([^"#]*)', 1))) AS links FROM pages""")
+def con20_links(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", F.size(connectors.links(F.col("html"), "")).cast("long").alias("links"))
+
+
+@query(r"""WITH l AS (SELECT DISTINCT unnest(regexp_extract_all(html, '(?i)\bhref="([^"#]*)', 1)) AS url FROM pages)
+SELECT url FROM l WHERE url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)""")
+def con21_frontier(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages")
+    found = pages.select(F.explode(connectors.links(F.col("html"), "")).alias("url"))
+    return connectors.frontier(found, pages)
+
+
+@query(r"""SELECT page_id, len(list_filter(regexp_extract_all(html, '(?is)<tr\b[^>]*>(.*?)</tr>', 1), lambda x: regexp_matches(x, '(?is)<t[dh]\b[^>]*>.*?</t[dh]>'))) AS n_rows FROM pages""")
+def con15_table_rows(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", F.size(connectors.table_rows(F.col("html"))).cast("long").alias("n_rows"))
