@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +21,8 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+_TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_SEPARATORS = "+/_-"
 KINDS = ("assign", "access", "hex", "random")
 
 
@@ -27,18 +30,13 @@ KINDS = ("assign", "access", "hex", "random")
 class SecretRules:
     """alpha: the battery's tests each fail a random token with this chance. q: false discoveries among added spans.
 
-    The null hypothesis of a discovery is ordinary text: letters whose squared and cubed frequencies add up to
-    text_pairs and text_triples, with a share of stray (not lower-case) characters, and any character a hexadecimal
-    one with the chance text_hex.
+    separated: share of separators in a random token that has them.
     """
 
     alpha: float = 1e-3
     q: float = 1e-3
-    text_pairs: float = 0.068
-    text_triples: float = 0.0064
-    stray: float = 0.08
-    text_hex: float = 0.35
-    strata: tuple[int, ...] = (20, 32, 48, 80)
+    separated: float = 0.1
+    strata: tuple[int, ...] = (16, 20, 32, 48, 80)
     grid: int = 20
     grid_top: int = 1200
 
@@ -46,13 +44,87 @@ class SecretRules:
 #: The alphabets that a token may be written in, by name, size and pattern, narrowest first.
 ENCODINGS = (
     ("hex", 16, re.compile(r"[0-9a-f]+|[0-9A-F]+")),
+    ("lower26", 26, re.compile(r"[a-z]+")),
+    ("upper26", 26, re.compile(r"[A-Z]+")),
+    ("lower32", 32, re.compile(r"[a-z2-7]+")),
     ("base32", 32, re.compile(r"[A-Z2-7]+")),
     ("lower36", 36, re.compile(r"[a-z0-9]+")),
     ("upper36", 36, re.compile(r"[A-Z0-9]+")),
+    ("mixed52", 52, re.compile(r"[A-Za-z]+")),
     ("base62", 62, re.compile(r"[A-Za-z0-9]+")),
     ("base64", 64, re.compile(r"[A-Za-z0-9+/]+")),
     ("base64url", 64, re.compile(r"[A-Za-z0-9_-]+")),
 )
+#: Those up to base62 may also come with separators, as may base64 and base64url with each other's signs.
+HYPOTHESES = 2 * len(ENCODINGS)
+
+#: Letter pairs of English, German, French and Spanish manuals and messages, accents dropped: a row for a word's start
+#: and one for each letter before, a column for each letter after, in half bits (digits, then a for 10).
+_PAIRS = (
+    "7a8779bd8hc89998fa78abbkhe",
+    "ia89jfbeafc695ibf6769cgfdg",
+    "6gfi4hgh78l6fj7ho8cd7mhlai",
+    "6mbi7lk47ob9kl5hnag7aoopkq",
+    "6hke2khi6ilegh6hocci9iilhl",
+    "bd89cbce9hf8a5gbe568cegaff",
+    "7kjf68gl4llajg5fm9ca6nkkgi",
+    "7ehh3jec6lgae89en8ab6lhlij",
+    "5jki3kli6nj8ec7lnaf8alioil",
+    "ab797aajjjf9956dea67kbkfke",
+    "5fge2iig9hhihg5eigfi7hhihi",
+    "5gfg4icb8kfbgd5dlaa78hclfe",
+    "5ghb4eel5lj7gh7flka99gihbk",
+    "48ii4jil6nkg9g77nidf9jjmjm",
+    "7g866c7h8ieega7jii85adinfe",
+    "gaa9hadhcje984e9i5898edjii",
+    "5fcf5ehe9oh8jj6am6d88kkmeo",
+    "djiihjijejjiihhihhig0iejij",
+    "5db94fbg7lfeab7gia98afende",
+    "8h8g5hfb6pfegh89hh758hgoci",
+    "6kfi4hk65nkehj7hq7aaamgnbd",
+    "9aac6bcg9hf885ham677kdjfhi",
+    "4jij3ikm6mlihh5imcgjflkkjm",
+    "5iig4jh74kjfic7ilccjalhjgj",
+    "8f6f6ehg5jgheid5jhe5figdcg",
+    "6fdg9jfi9hgd8894jd779haihi",
+    "5geh3igd8jhegh9ifhh95iajgf",
+)
+#: Chances of lower case, upper case, digit and separator after each of them, and at a token's start.
+_TURNS = {
+    "^": (0.60, 0.25, 0.10, 0.05),
+    "l": (0.90, 0.03, 0.02, 0.05),
+    "u": (0.26, 0.70, 0.02, 0.02),
+    "d": (0.03, 0.02, 0.80, 0.15),
+    "s": (0.55, 0.20, 0.20, 0.05),
+}
+_SIGNS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + _SEPARATORS
+
+
+def _kind(x: str) -> str:
+    return "l" if "a" <= x <= "z" else "u" if "A" <= x <= "Z" else "d" if "0" <= x <= "9" else x if x == "^" else "s"
+
+
+def _text_logs() -> dict[tuple[str, str], float]:
+    """Log chance of each sign after each other (^ at the start) in words, names, numbers and what joins them."""
+    shares = [[2.0 ** (-int(x, 36) / 2) for x in row] for row in _PAIRS]
+    shares = [[x / sum(row) for x in row] for row in shares]
+    out = {}
+    for a in "^" + _SIGNS:
+        turns = dict(zip("luds", _TURNS[_kind(a)]))
+        for b in _SIGNS:
+            kind = _kind(b)
+            if kind in "lu":
+                # A letter goes on with a word, unless a capital opens a new one.
+                goes_on = _kind(a) in "lu" and not (_kind(a) == "l" and kind == "u")
+                row = shares[ord(a.lower()) - 96 if goes_on else 0]
+                within = row[ord(b.lower()) - 97]
+            else:
+                within = 0.1 if kind == "d" else 1 / len(_SEPARATORS)
+            out[a, b] = math.log(turns[kind] * within)
+    return out
+
+
+_TEXT = _text_logs()
 
 
 def _normal_tail(z: float) -> float:
@@ -90,45 +162,68 @@ def serial(signs: list[float]) -> float:
     return 2 * _normal_tail(abs(r + 1 / n) * math.sqrt(n))
 
 
-def text_tail(token: str, counts: dict[str, int], n: int, name: str, rules: SecretRules) -> float:
-    """Chance that ordinary text looks as unlike text as the token: the least of three tests, times three.
+def _repeats(signs: Iterable, k: int) -> float:
+    """Log chance of signs of which three in four repeat one before, as often as it came, and one in four is of any k."""
+    out, counts, n = 0.0, {}, 0
+    for x in signs:
+        c = counts.get(x, 0)
+        out += math.log(0.75 * c / n) if c else -math.log(4 * k)
+        counts[x] = c + 1
+        n += 1
+    return out
+
+
+def plain_log(token: str) -> float:
+    """Log chance of the token where it is likeliest: text, favoured signs, signs that follow each other, or steps."""
+    text = sum(map(_TEXT.__getitem__, zip("^" + token, token)))
+    after: dict[str, list[str]] = {}
+    for a, b in zip("^" + token, token):
+        after.setdefault(a, []).append(b)
+    k = len(_SIGNS)
+    chained = sum(_repeats(row, k) for row in after.values())
+    steps = _repeats((ord(b) - ord(a) for a, b in zip(token, token[1:])), 2 * k) - math.log(k)
+    return max(text, _repeats(token, k), chained, steps)
 
-    Fewer equal pairs of characters than letters' frequencies make; more characters that are no lower-case letters;
-    and all characters hexadecimal.
-    """
-    pairs = sum(c * (c - 1) // 2 for c in counts.values())
-    s2, s3, m2 = rules.text_pairs, rules.text_triples, n * (n - 1) / 2
-    var = m2 * (s2 - s2 * s2) + n * (n - 1) * (n - 2) * (s3 - s2 * s2)
-    few = _normal_tail((m2 * s2 - pairs) / math.sqrt(var))
-    stray = sum(not ("a" <= x <= "z") for x in token)
-    # Chernoff's bound of the binomial tail.
-    share = stray / n
-    if share <= rules.stray:
-        odd = 1.0
-    else:
-        gain = share * math.log(share / rules.stray)
-        gain += (1 - share) * math.log((1 - share) / (1 - rules.stray)) if share < 1 else 0.0
-        odd = math.exp(-n * gain)
-    within = rules.text_hex**n if name == "hex" else 1.0
-    return min(1.0, 3 * min(few, odd, within))
+
+def random_log(n: int, k: int, separators: int, rules: SecretRules) -> float:
+    """Log chance of one token of n random signs of an alphabet of k, and of separators between them if there are any."""
+    out = -n * math.log(k) - math.log(HYPOTHESES)
+    if separators:
+        out += n * math.log(1 - rules.separated) + separators * math.log(rules.separated / len(_SEPARATORS))
+    return out
 
 
 def battery(token: str, rules: SecretRules) -> tuple[str, float] | None:
-    """The token's encoding and text_tail, or None if a test says that it is not random."""
+    """The token's encoding and the tail of its evidence, or None if a test says that it is not random.
+
+    The evidence is how much likelier the token is as random signs of its alphabet than as anything plain, times the
+    level of the three tests together (thrice the least of them, at most 1). Were the token plain, evidence of 1/x or
+    more would have a chance of at most x (Markov), whatever the length and the alphabet: that x is the tail.
+    """
     token = token.rstrip("=")
-    name, k, _ = next((e for e in ENCODINGS if e[2].fullmatch(token)), ("mixed", 65, None))
-    kinds = sum(map(bool, (re.search("[a-z]", token), re.search("[A-Z]", token), re.search("[0-9]", token))))
-    if kinds < 2:
-        return None  # one case of letters, or digits alone, is a word, a name or a number
-    n, counts = len(token), {}
-    for x in token:
-        counts[x] = counts.get(x, 0) + 1
+    bare = token
+    found = next((e for e in ENCODINGS if e[2].fullmatch(token)), None)
+    if found is None or found[0].startswith("base64"):
+        # Separators are signs of the two base64 alphabets, unless the rest is written in a narrower one.
+        bare = token.translate(dict.fromkeys(map(ord, _SEPARATORS)))
+        inner = next((e for e in ENCODINGS[:-2] if e[2].fullmatch(bare)), None)
+        if inner is None:
+            return None
+        split = random_log(len(bare), inner[1], len(token) - len(bare), rules)
+        if found is None or split > random_log(len(token), found[1], 0, rules):
+            found = (f"{inner[0]}-split", inner[1], None)
+        else:
+            bare = token
+    name, k, _ = found
+    n, counts = len(bare), Counter(bare)
     order = {x: i for i, x in enumerate("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz+/-")}
-    signs = [float(order[x]) for x in token]
+    signs = [float(order[x]) for x in bare]
     middle = sorted(signs)[n // 2] - 0.5
-    if min(uniformity(counts, n, k), runs(signs, middle), serial(signs)) < rules.alpha:
+    least = min(uniformity(counts, n, k), runs(signs, middle), serial(signs))
+    if least < rules.alpha:
         return None
-    return name, text_tail(token, counts, n, name, rules)
+    gain = random_log(n, k, len(token) - n, rules) - plain_log(token) + math.log(min(1.0, 3 * least))
+    return name, math.exp(-min(max(gain, 0.0), 690.0))
 
 
 SPANS = T.ArrayType(

@@ -60,6 +60,25 @@ def test_battery_passes_random_tokens_at_its_level():
     assert all(secrets.battery(x, rules) is None for x in ("aB" * 20, "abcdefghijklmnopqrstuvwxyz0123456789", "A1" * 12))
 
 
+def test_random_tokens_of_every_alphabet_are_found(spark):
+    """Planted 16 to 40 characters long, one in each document, beside ordinary long words."""
+    lower, upper = string.ascii_lowercase, string.ascii_uppercase
+    alphabets = [lower, upper, lower + string.digits, upper + string.digits, lower + "234567", upper + "234567", "0123456789ABCDEF", lower + upper]
+    alphabets.append(alphabets[-1] + string.digits)
+    words = "Internationalisation donaudampfschifffahrtsgesellschaft week-by-week-summary CHARACTERISTICALLY 2024-01-02-report"
+    planted = [token(100 * a + 10 * n + k, n, x) for a, x in enumerate(alphabets) for n in (16, 20, 24, 32, 40) for k in range(8)]
+    for a, x in enumerate(["0123456789abcdef", alphabets[-1]]):
+        planted += ["-".join(token(9000 + 100 * a + 10 * k + n, n, x) for n in (8, 4, 5, 12)) for k in range(8)]
+    rows = [(k, f"{words} key {x} in {words}", "a") for k, x in enumerate(planted)]
+    got = {r.doc_id: r.spans for r in secrets.secret_spans(cases.docs(spark, rows)).collect()}
+    at = len(words) + 5
+    found = [f"random:{at}:{at + len(x)}" in got[k].split(",") for k, x in enumerate(planted)]
+    assert sum(found) >= 0.95 * len(planted)
+    for k in range(0, len(planted), 8):  # of every alphabet and length
+        assert sum(found[k : k + 8]) >= 6, planted[k]
+    assert sum(r.count("random:") for r in got.values()) == sum(found)
+
+
 def test_grams_equal_brute_force():
     rules = toxicity.ToxicityRules(bits=16)
     grams = toxicity.Grams(rules)
