@@ -130,3 +130,16 @@ def test_trees_learn_from_labels(spark):
     model = urls.train(frame.filter(F.xxhash64("url") % 4 != 0), urls.UrlModelRules(trees=5))
     got = model.score(frame.filter(F.xxhash64("url") % 4 == 0)).collect()
     assert sum((r.score >= 0.5) == bool(r.label) for r in got) >= 0.95 * len(got)
+
+
+def test_hosts_outside_the_word_list_are_judged(spark):
+    """Hosts built like the seeds' are blocked, listed or not; whole words kept from the list are as well."""
+    bad = ["m.casino-win", "www.cheap-pills", "spam-farm", "free-bets", "ads-track"]
+    hosts = [(f"{h}.example.com", True) for h in bad] + [(f"{w}{k}site.example.com", False) for k, w in enumerate(["www.", "m.", "", "blog."] * 5)]
+    rows = [(100 * k + i, f"https://{h}/en/{37 * i % 900}{['', '?page=2', '#top', '.html'][i % 4]}") for k, (h, _) in enumerate(hosts) for i in range(20)]
+    rows += [(9000 + i, f"https://{h}.net/a/{i}") for h in ("plain", "www.plain") for i in range(50)]  # a rule blocks these
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    rules = urls.UrlModelRules(trees=5)
+    for words in (urls.SEED_WORDS, [w for w in urls.SEED_WORDS if w != "casino"]):
+        got = {(r.host, r.verdict) for r in urls.judge(pages, model_rules=rules, words=words).filter("rule is null").collect()}
+        assert got == {(h, "block" if b else "allow") for h, b in hosts}
