@@ -143,3 +143,18 @@ def test_hosts_outside_the_word_list_are_judged(spark):
     for words in (urls.SEED_WORDS, [w for w in urls.SEED_WORDS if w != "casino"]):
         got = {(r.host, r.verdict) for r in urls.judge(pages, model_rules=rules, words=words).filter("rule is null").collect()}
         assert got == {(h, "block" if b else "allow") for h, b in hosts}
+
+
+def test_suffixes_count_all_labelled_urls(spark):
+    """A suffix without a row in the fitting sample has its whole count and rate, broadcast or not."""
+    rows = [(f"http://{'bad' if k % 5 == 0 else 'a'}{k}.{'rare' if k % 40 == 0 else 'com'}/{k}", int(k % 5 == 0)) for k in range(400)]
+    frame = spark.createDataFrame(rows, "url string, label int")
+    frame = frame.withColumns({"host": urls.host_of(F.col("url")), "path": urls.path_of(F.col("url"))})
+    scores = []
+    for bound in (10, 0):
+        model = urls.train(frame, urls.UrlModelRules(trees=2, sample_rows=30, broadcast_rows=bound))
+        got = {r._key: (r.suffix_rows, r.suffix_rate) for r in model.suffixes.collect()}
+        want = {"rare": (10, 10), "com": (390, 70)}
+        assert got == {k: pytest.approx((np.log1p(n), (ones + 20 * 0.2) / (n + 20))) for k, (n, ones) in want.items()}
+        scores.append({r.url: r.score for r in model.score(frame).collect()})
+    assert scores[0] == scores[1] and len(scores[0]) == len(rows)
