@@ -54,8 +54,14 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     their size; other columns are ignored. The running sums go by 4096 hash ranges of a source first and within each
     range then, so that no task holds a source.
     """
+    out = _queued(docs.select("doc_id", "source", "text"), rules)
+    return out.orderBy(F.col("finish").asc_nulls_last(), F.col("source").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
+
+
+def _queued(docs: DataFrame, rules: MixRules, *carried: str) -> DataFrame:
+    """mix() without its order, with columns that rows carry along. The first of those breaks ties of the queue."""
     key = F.md5(F.concat(F.lit(rules.seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"))
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"), *carried)
     rows = rows.withColumn("_range", F.substring("_key", 1, 3))
     by_range = rows.groupBy("source", "_range").agg(F.sum("size").alias("_words"))
     targets = source_targets(by_range.groupBy("source").agg(F.sum("_words").alias("source_size")), rules)
@@ -66,7 +72,7 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     starts = ranges.join(targets, same(ranges, targets)).select(
         ranges["source"].alias("_source"), ranges["_range"].alias("_at"), "_start", "source_size", "target"
     )
-    queue = Window.partitionBy("source", "_range").orderBy("_key", "size", F.col("doc_id").asc_nulls_last())
+    queue = Window.partitionBy("source", "_range").orderBy("_key", "size", F.col("doc_id").asc_nulls_last(), *carried[:1])
     rows = rows.withColumn("_before", F.sum("size").over(queue.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     rows = rows.join(starts, rows["source"].eqNullSafe(starts["_source"]) & (rows["_range"] == starts["_at"]))
     before = F.col("_start") + F.col("_before")
@@ -80,19 +86,16 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     for k in range(1, rules.max_epochs):
         taken = taken + epoch(k)
     finish = F.try_divide((before + F.col("size")).cast("double"), F.col("target"))
-    out = rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), finish.alias("finish"))
-    return out.orderBy(F.col("finish").asc_nulls_last(), F.col("source").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
+    out = ["doc_id", "source", "size", "source_size", "target", taken.alias("taken"), finish.alias("finish")]
+    return rows.select(*out, *carried)
 
 
 def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
-    """docs(doc_id, text, source, ...), each row as often as the mix takes the document: whole copies, the cut one too.
+    """docs(doc_id, text, source, ...), each row as often as the mix takes it: whole copies, the cut one too.
 
-    Rows of equal doc_id and source come as often as the most taken of them.
+    Every row queues on its own, with all its columns; rows equal in doc_id and size queue by the hash of their text.
     """
-    taken = mix(docs.select("doc_id", "text", "source"), rules).filter("taken > 0")
-    taken = taken.withColumn("_copies", F.ceil(F.col("taken") / F.col("size")).cast("int"))
-    taken = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_from")).agg(F.max("_copies").alias("_copies"))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"))
-    same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & F.col("_row.source").eqNullSafe(F.col("_from"))
-    rows = rows.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return rows.select("_row.*")
+    rows = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("_text"), F.struct(*docs.columns).alias("_row"))
+    taken = _queued(rows, rules, "_text", "_row").filter("taken > 0")
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select("_row.*")

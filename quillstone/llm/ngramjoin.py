@@ -91,11 +91,11 @@ SIGNED = T.StructType(
 )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, *others: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select(
         F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"),
-        F.xxhash64(text).alias("text_key"), text.alias("text"),
+        F.xxhash64(text).alias("text_key"), text.alias("text"), *others,
     )
 
 
@@ -196,6 +196,21 @@ def _verify(rows: pa.Table, threshold: float) -> tuple[list, list, list, list]:
     return out
 
 
+def _classes(docs: DataFrame, rules: JoinRules) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and one row a class of equal sets: its least row, and near, the same for all that links connect."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "ngramjoin")
+    signed = scratch.save(_signed(docs, rules), "signed")
+    first = F.min(F.struct("none", "id", "text_key")).alias("first")
+    classes = signed.groupBy("set_key").agg(first, F.count("*").alias("size"), F.any_value("bands").alias("bands"))
+    classes = classes.withColumn("node", F.monotonically_increasing_id())
+    classes = scratch.save(classes, "classes")
+    linked = _links(docs, classes, rules, scratch)
+    heads = classes.select("node", "set_key", "size", "first").join(linked, "node", "left")
+    heads = scratch.save(heads.withColumn("near", F.coalesce("near", "node")), "heads")
+    return signed, heads
+
+
 def jaccard_join(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
     """One row a row of docs(doc_id, text): copy_id, class_id and n_links.
 
@@ -214,17 +229,8 @@ def jaccard_join(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
     least; rows equal in doc_id and text are linked as copies; an empty table gives an empty one; other columns are
     ignored.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "ngramjoin")
-    signed = scratch.save(_signed(docs, rules), "signed")
-    first = F.min(F.struct("none", "id", "text_key")).alias("first")
-    classes = signed.groupBy("set_key").agg(first, F.count("*").alias("size"), F.any_value("bands").alias("bands"))
-    classes = classes.withColumn("node", F.monotonically_increasing_id())
-    classes = scratch.save(classes, "classes")
-    linked = _links(docs, classes, rules, scratch)
-    heads = classes.select("node", "set_key", "size", "first").join(linked, "node", "left")
+    signed, heads = _classes(docs, rules)
     heads = heads.withColumn("copy_id", F.when(~F.col("first.none"), F.col("first.id")))
-    heads = scratch.save(heads.withColumn("near", F.coalesce("near", "node")), "heads")
     least = heads.groupBy("near").agg(F.min("copy_id").alias("class_id"))
     heads = heads.join(least, "near").select(
         "set_key", "copy_id", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
@@ -234,17 +240,28 @@ def jaccard_join(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
 
 
 def one_of_each_class(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
-    """docs(doc_id, text, ...) without the documents that are linked, by way of others too, to one of lower doc_id.
+    """docs(doc_id, text, ...) with one row of all those that links connect, by way of others too: the least one.
 
-    Few dropped ids are broadcast, many are joined by shuffling both sides. Rows with a null id stay, as do all rows of
-    an id that stays.
+    Rows are told apart by doc_id and text, so that a row without an id goes as any other, and a text stays whatever its
+    id's other texts do. The least row has the lowest doc_id (null last), then the lowest hash of its text; of rows equal
+    in both, the least by its other columns stays. Few dropped keys are broadcast, many are joined by shuffling both sides.
     """
     scratch = Scratch(docs.sparkSession, "ngramjoin-kept")
-    found = jaccard_join(docs.select("doc_id", "text"), rules)
-    gone = found.filter("doc_id <> class_id").select("doc_id").distinct()
-    gone = scratch.save(gone, "gone")
-    small = gone.count() <= rules.broadcast_rows
-    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*docs.columns)
+    signed, heads = _classes(docs.select("doc_id", "text"), rules)
+    heads = heads.join(heads.groupBy("near").agg(F.min("first").alias("kept")), "near").select("set_key", "kept")
+    keys = ["none", "id", "text_key"]
+    rows = signed.groupBy(*keys, "set_key").agg(F.count("*").alias("n")).join(heads, "set_key")
+    many = F.struct(*keys) == F.col("kept")
+    marked = scratch.save(rows.filter(~many | (F.col("n") > 1)).select(*keys, many.alias("many")), "marked")
+    small = marked.count() <= rules.broadcast_rows
+    # The key's own columns under names that docs does not have; never null.
+    row = _keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")), "_row").drop("text")
+    row = row.join(F.broadcast(marked) if small else marked, keys, "left")
+    out = row.filter("many is null").select("_row.*")
+    if marked.filter("many").head(1):
+        one = row.filter("many").groupBy(*keys).agg(F.min("_row").alias("_row"))
+        out = out.unionByName(one.select("_row.*"))
+    return out
 
 
 def _links(docs: DataFrame, classes: DataFrame, rules: JoinRules, scratch: Scratch) -> DataFrame:

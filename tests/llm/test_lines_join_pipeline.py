@@ -104,6 +104,26 @@ def test_join_odd_tables(spark):
     assert kept.columns == docs.columns
 
 
+def test_one_row_of_each_class_stays_whatever_its_id(spark):
+    base, near = cases.prose(200, 1), cases.prose(200, 1).replace(" the ", " teh ", 1)
+    rows = [(1, base, "a"), (None, base, "a"), (None, near, "b"), (None, near, "b"), (7, near, "a"), (7, cases.prose(90, 2), "a")]
+    rows += [(8, cases.prose(90, 3), "c")] * 3 + [(None, cases.prose(90, 4), "c")] * 2 + [(None, cases.prose(90, 5), "c")]
+    docs = cases.docs(spark, rows)
+    want = sorted([(1, base), (7, rows[5][1]), (8, rows[6][1]), (-1, rows[9][1]), (-1, rows[11][1])])
+    for bound in (200_000, 0):
+        kept = ngramjoin.one_of_each_class(docs, ngramjoin.JoinRules(broadcast_rows=bound))
+        assert kept.columns == docs.columns
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in kept.collect()) == want
+
+
+def test_mix_takes_rows_not_ids(spark):
+    rows = [(None, cases.prose(50 + i, i), "ab"[i % 2]) for i in range(40)]
+    docs = cases.docs(spark, rows)
+    taken = Counter((r.source, r.size, -(-r.taken // r.size)) for r in mixing.mix(docs).collect() if r.taken)
+    got = Counter((r.source, len(cases.words(r.text))) for r in mixing.mixed_documents(docs).collect())
+    assert got == Counter({(s, n): k for s, n, k in taken})
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngramjoin.choose_bands(ngramjoin.JoinRules())
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999 and bands * rows <= 160
