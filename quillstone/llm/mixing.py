@@ -43,11 +43,12 @@ def source_targets(sizes: DataFrame, rules: MixRules) -> DataFrame:
 
 
 def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
-    """Each row of docs(doc_id, text, source) with the words that the mix takes from it, in the mix's order.
+    """Each row of docs(doc_id, text, source) with the words that the mix takes from it.
 
     Within a source documents queue in a fixed random order (MD5 of seed and doc_id), then queue again for each further
-    epoch. A copy's virtual finish time is the words its source has queued up to it, over the source's target; the
-    copies of all sources in order of finish time, cut where the budget is spent (time 1), are the mix. The copy that
+    epoch. A copy's virtual finish time is the words its source has queued up to it, over the source's target. The budget
+    is spent at time 1 for all sources, so that each is cut at its own target and no order over sources is needed; rows
+    are in order of their first copies' finish times, and later copies have no time of their own. The copy that
     spans the cut gives its first words, so that a source's words are its target to within one word.
 
     Null texts have no words and are never taken; null sources are one source, the last; rows of equal doc_id queue by
