@@ -3,15 +3,23 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.operators.spread import hot_keys, spread_join
+
 
 def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint; sets a folder only where the session has none."""
+    """df with its lineage cut by a reliable checkpoint.
+
+    The folder is the session's; only a session within one JVM may go without and gets a temporary one.
+    """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not context._jsc.sc().isLocal():
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="quillstone-checkpoint-"))
     return df.checkpoint()
 
@@ -46,20 +54,45 @@ def reachable(edges: DataFrame, seeds: DataFrame, barred: DataFrame, most: int =
     raise RuntimeError(f"no fixpoint after {most} rounds")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root): root is the least node of the component of edges(a, b), by alternating large and small stars."""
+def _signature(edges: DataFrame) -> tuple:
+    """Count and two 64-bit sums: a set of rows and another one agree in all three by chance once in 2**128."""
+    sums = [F.sum(F.xxhash64("u", "v", F.lit(k)).cast("decimal(38,0)")) for k in (1, 2)]
+    return tuple(edges.agg(F.count("*"), *sums).first())
+
+
+def _to_least(rows: DataFrame, wanted: str, most: int) -> DataFrame:
+    """rows(u, v), most at most, that meet a condition on u, v and m, the least of u's neighbours and u, as (v, m).
+
+    A node with many neighbours does not gather them in one task: its m is broadcast to them.
+    """
+    hot = hot_keys(rows.groupBy("u").agg(F.count("*").alias("n")), "u", "n", most)
+    least = rows.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    return spread_join(rows, least, "u", hot).filter(wanted).select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
+def components(
+    edges: DataFrame, save: Callable[[DataFrame], DataFrame] = cut, drop: Callable[[DataFrame], None] = lambda df: None
+) -> DataFrame:
+    """(node, root): root is the least node of the component of edges(a, b), by alternating large and small stars.
+
+    Rows stay as many as the edges, and rounds grow with the logarithm of the component's size. save() writes what a
+    round leaves to the shared folder and reads it again; drop() may delete it once the next round is there. Only counts
+    and sums come to the driver. Loops (a = b) are no edges; without edges there are no rows.
+    """
     e = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e, mark = cut(e), None
+    e, mark = save(e), None
     while True:
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
+        now = _signature(e)
         if now == mark or now[0] == 0:
             break
         mark = now
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        large = save(_to_least(both, "v > u", 2 * now[0]).distinct())
+        rest = _to_least(large, "v > m", 2 * now[0])
+        ends = large.groupBy("u").agg(F.min("v").alias("v"))
+        after = save(rest.unionByName(ends).distinct())
+        drop(e)
+        drop(large)
+        e = after
     roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
