@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quillstone.llm.common import Scratch, map_slices
-from quillstone.llm.components import connected_components
 from quillstone.llm.wordhash import mix, shingle_hashes, stream, word_bounds, word_hashes
+from quillstone.operators.fixpoint import components
+from quillstone.operators.spread import hot_keys, spread_join
 
 _U = np.uint64
 
@@ -26,7 +27,9 @@ class JoinRules:
 
     recall: chance that a pair at the threshold is proposed; pairs above it have a better one. max_hashes bounds the
     hashes a text; with it, choose_bands() takes the longest bands that reach the recall.
-    block: texts compared with each other in one task at most twice that many.
+    block, block_bytes: a task compares two blocks of texts at most, each of that many texts and bytes of shingle
+    hashes, one text that alone is longer excepted. bin_rows, bin_bytes: the same for components of fewer texts than a
+    block, several of which share a task.
     broadcast_rows: candidates up to this number are broadcast to the texts; more are joined by shuffling both.
     """
 
@@ -34,7 +37,9 @@ class JoinRules:
     recall: float = 0.999
     max_hashes: int = 160
     block: int = 512
+    block_bytes: int = 8 << 20
     bin_rows: int = 2048
+    bin_bytes: int = 16 << 20
     broadcast_rows: int = 200_000
 
 
@@ -86,6 +91,7 @@ SIGNED = T.StructType(
         T.StructField("id", T.LongType()),
         T.StructField("text_key", T.LongType()),
         T.StructField("set_key", T.BinaryType()),
+        T.StructField("n_bytes", T.LongType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
     ]
 )
@@ -109,6 +115,7 @@ def _signed(docs: DataFrame, rules: JoinRules) -> DataFrame:
             out = {k: part[k] for k in ("none", "id", "text_key")}
             sets = [shingle_set(x) for x in part["text"]]
             out["set_key"] = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets]
+            out["n_bytes"] = [x.nbytes for x in sets]
             out["bands"] = [minhash(x) for x in sets]
             return out
 
@@ -122,8 +129,7 @@ WITH_SET = T.StructType(
         T.StructField("node", T.LongType()),
         T.StructField("root", T.LongType()),
         T.StructField("size", T.LongType()),
-        T.StructField("at", T.IntegerType()),
-        T.StructField("blocks", T.IntegerType()),
+        T.StructField("block", T.LongType()),
         T.StructField("shingles", T.BinaryType()),
     ]
 )
@@ -168,7 +174,7 @@ def _verify(rows: pa.Table, threshold: float) -> tuple[list, list, list, list]:
         at.setdefault(node, i)  # rows equal in id and text are one
     rows = rows.take(list(at.values()))
     node, size = (rows.column(k).to_numpy() for k in ("node", "size"))
-    root, part, p, q = (rows.column(k).to_pylist() for k in ("root", "at", "p", "q"))
+    root, part, p, q = (rows.column(k).to_pylist() for k in ("root", "block", "p", "q"))
     sets = [np.frombuffer(x, _U) for x in rows.column("shingles").to_pylist()]
     groups: dict[int, list[int]] = {}
     for i, x in enumerate(root):
@@ -192,23 +198,27 @@ def _verify(rows: pa.Table, threshold: float) -> tuple[list, list, list, list]:
         weight = (linked * size[members][None, :]).sum(axis=1)
         for column, values in zip(out, (ids, weight, near)):
             column.extend(values.tolist())
-        out[3].extend([p[members[0]] < 0] * len(members))
+        out[3].extend([p[members[0]] is None] * len(members))
     return out
 
 
-def _classes(docs: DataFrame, rules: JoinRules) -> tuple[DataFrame, DataFrame]:
-    """The signed rows, and one row a class of equal sets: its least row, and near, the same for all that links connect."""
+def _classes(docs: DataFrame, rules: JoinRules) -> tuple[DataFrame, DataFrame, list]:
+    """The signed rows, one row a class of equal sets, and the keys of the classes that hold a large part of all rows.
+
+    A class has its least row, and near, the same for all that links connect.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngramjoin")
     signed = scratch.save(_signed(docs, rules), "signed")
     first = F.min(F.struct("none", "id", "text_key")).alias("first")
-    classes = signed.groupBy("set_key").agg(first, F.count("*").alias("size"), F.any_value("bands").alias("bands"))
+    classes = signed.groupBy("set_key").agg(first, F.count("*").alias("size"), F.any_value("bands").alias("bands"), F.any_value("n_bytes").alias("n_bytes"))
     classes = classes.withColumn("node", F.monotonically_increasing_id())
     classes = scratch.save(classes, "classes")
+    hot = hot_keys(classes, "set_key", "size", signed.count())
     linked = _links(docs, classes, rules, scratch)
     heads = classes.select("node", "set_key", "size", "first").join(linked, "node", "left")
     heads = scratch.save(heads.withColumn("near", F.coalesce("near", "node")), "heads")
-    return signed, heads
+    return signed, heads, hot
 
 
 def jaccard_join(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
@@ -220,22 +230,23 @@ def jaccard_join(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
     1. Texts become sets, and equal sets one class with its band hashes; only classes go on.
     2. Band hashes are shuffled. Each class of a shared band is linked to the band's least class: one row a member,
        however large the band. Components of these links hold every proposed pair.
-    3. Classes of a component meet by their full sets, each set shuffled once: many small components in one task, and
-       one pair of blocks of a component larger than a block. All pairs that meet are compared, so that a component
-       loses no link. A task returns a row a class: how many documents it is linked to, and the least class it reaches.
+    3. Classes of a component meet by their full sets, each set shuffled once: many small components in one task. A
+       component larger than a block is cut into blocks by the classes' stars, and pairs of blocks meet that share a band
+       hash. All pairs that meet are compared, so that no link of two classes with an equal band hash is lost. A task
+       returns a row a class: how many documents it is linked to, and the least class it reaches.
     4. Where blocks were needed, the reached classes are edges, and components of those give the classes.
 
     No pairs are ever rows. Null and empty texts have the empty set and are each other's copies; null ids are never the
     least; rows equal in doc_id and text are linked as copies; an empty table gives an empty one; other columns are
     ignored.
     """
-    signed, heads = _classes(docs, rules)
+    signed, heads, hot = _classes(docs, rules)
     heads = heads.withColumn("copy_id", F.when(~F.col("first.none"), F.col("first.id")))
     least = heads.groupBy("near").agg(F.min("copy_id").alias("class_id"))
     heads = heads.join(least, "near").select(
         "set_key", "copy_id", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
-    out = signed.select("none", "id", "set_key").join(heads, "set_key")
+    out = spread_join(signed.select("none", "id", "set_key"), heads, "set_key", hot)
     return out.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "copy_id", "class_id", "n_links")
 
 
@@ -247,10 +258,10 @@ def one_of_each_class(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFr
     in both, the least by its other columns stays. Few dropped keys are broadcast, many are joined by shuffling both sides.
     """
     scratch = Scratch(docs.sparkSession, "ngramjoin-kept")
-    signed, heads = _classes(docs.select("doc_id", "text"), rules)
+    signed, heads, hot = _classes(docs.select("doc_id", "text"), rules)
     heads = heads.join(heads.groupBy("near").agg(F.min("first").alias("kept")), "near").select("set_key", "kept")
     keys = ["none", "id", "text_key"]
-    rows = signed.groupBy(*keys, "set_key").agg(F.count("*").alias("n")).join(heads, "set_key")
+    rows = spread_join(signed.groupBy(*keys, "set_key").agg(F.count("*").alias("n")), heads, "set_key", hot)
     many = F.struct(*keys) == F.col("kept")
     marked = scratch.save(rows.filter(~many | (F.col("n") > 1)).select(*keys, many.alias("many")), "marked")
     small = marked.count() <= rules.broadcast_rows
@@ -266,43 +277,95 @@ def one_of_each_class(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFr
 
 def _links(docs: DataFrame, classes: DataFrame, rules: JoinRules, scratch: Scratch) -> DataFrame:
     """(node, links, near) of the classes that share a band with another."""
+
+    def save(df: DataFrame) -> DataFrame:
+        return scratch.save(df, "edges")
+
     bands = classes.select("node", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("v")).filter("n > 1")
-    shared = scratch.save(shared.select("band", "v"), "shared")
-    edges = bands.join(shared, "band").select(F.col("node").alias("u"), "v")
-    roots = scratch.save(connected_components(edges, scratch), "roots")
-    sizes = roots.groupBy("root").agg(F.count("*").alias("members"))
-    blocks = F.ceil(F.col("members") / rules.block).cast("int")
-    at = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    wanted = roots.join(sizes, "root").withColumn("blocks", blocks).withColumn("at", at)
-    wanted = wanted.join(classes.select("node", "first", "size"), "node")
-    wanted = scratch.save(wanted.select("node", "root", "size", "at", "blocks", "first.*"), "wanted")
-    count = wanted.count()
+    shared = scratch.save(shared.select("band", "v", "n"), "shared")
+    mates = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    stars = spread_join(bands, shared.select("band", "v"), "band", hot_keys(shared, "band", "n", mates))
+    stars = scratch.save(stars.select("node", "band", "v"), "stars")
+    edges = stars.select(F.col("node").alias("a"), F.col("v").alias("b"))
+    roots = scratch.save(components(edges, save, scratch.drop), "roots")
+    wanted = roots.join(classes.select("node", "first", "size", "n_bytes"), "node")
+    wanted = scratch.save(wanted.select("node", "root", "size", "n_bytes", "first.*"), "wanted")
+    count, volume = wanted.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    parts = F.greatest(F.ceil(F.count("*") / rules.block), F.ceil(F.sum("n_bytes") / rules.block_bytes))
+    large = wanted.groupBy("root").agg(parts.cast("long").alias("parts"), F.count("*").alias("n")).filter("parts > 1")
+    large = scratch.save(large, "large")
+    blocks = pairs = None
+    if not large.isEmpty():
+        blocks, pairs = _blocks(wanted, large, stars, rules, scratch)
+    found = _compared(docs, wanted, count, max(count // rules.bin_rows, volume // rules.bin_bytes) + 1, blocks, pairs, rules)
+    found = scratch.save(found, "found")
+    crossing = found.filter("not final and near <> node").select(F.col("node").alias("a"), F.col("near").alias("b"))
+    merged = components(crossing, save, scratch.drop)
+    links = found.groupBy("node").agg(F.sum("links").alias("links"), F.min("near").alias("near"))
+    return links.join(merged, "node", "left").select("node", "links", F.coalesce("root", "near").alias("near"))
+
+
+def _blocks(
+    wanted: DataFrame, large: DataFrame, stars: DataFrame, rules: JoinRules, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """Blocks of large components: (node, block), and (block, p, q) for every pair of blocks that shares a band hash.
+
+    A class goes with the least class of all its bands, so that classes alike lie in one block or a few. The stars of a
+    component that are less than a block are dealt to blocks by hash; a larger star has blocks of its own.
+    """
+    center = stars.groupBy("node").agg(F.min("v").alias("center"))
+    hot = hot_keys(large, "root", "n", wanted.count())
+    inside = spread_join(wanted.select("node", "root", "n_bytes"), large.select("root", "parts"), "root", hot)
+    inside = scratch.save(inside.join(center, "node"), "inside")
+    cuts = F.greatest(F.ceil(F.count("*") / rules.block), F.ceil(F.sum("n_bytes") / rules.block_bytes)).cast("long")
+    stars_of = inside.groupBy("center").agg(cuts.alias("cuts"), F.count("*").alias("n"))
+    total = inside.count()
+    inside = spread_join(inside, stars_of.select("center", "cuts"), "center", hot_keys(stars_of, "center", "n", total))
+    own = F.xxhash64("center", F.pmod(F.xxhash64("node"), F.col("cuts")))
+    dealt = F.xxhash64("root", F.pmod(F.xxhash64("center"), F.col("parts")), F.lit("dealt"))
+    blocks = scratch.save(inside.select("node", F.when(F.col("cuts") > 1, own).otherwise(dealt).alias("block")), "blocks")
+    held = scratch.save(stars.select("node", "band").join(blocks, "node").select("band", "block").distinct(), "held")
+    meet = held.select("band", F.col("block").alias("p")).join(held.select("band", F.col("block").alias("q")), "band")
+    meet = scratch.save(meet.filter("p <= q").select("p", "q").distinct(), "meet")
+    both = meet.select(F.col("p").alias("block"), "p", "q").unionByName(meet.filter("p < q").select(F.col("q").alias("block"), "p", "q"))
+    return blocks, scratch.save(both, "pairs")
+
+
+def _compared(
+    docs: DataFrame, wanted: DataFrame, count: int, bins: int, blocks: DataFrame | None, pairs: DataFrame | None, rules: JoinRules
+) -> DataFrame:
+    """LINKED's rows: the classes of each small component, and of each pair of blocks, by their full sets."""
+    small = count <= rules.broadcast_rows
     keys = ["none", "id", "text_key"]
-    texts = _keyed(docs).join(F.broadcast(wanted) if count <= rules.broadcast_rows else wanted, keys)
+    if blocks is None:
+        wanted = wanted.withColumn("block", F.lit(None).cast("long"))
+    else:
+        wanted = wanted.join(blocks, "node", "left")
+    names = WITH_SET.names[:-1]
+    wanted = wanted.select(*keys, *names)
+    texts = _keyed(docs).join(F.broadcast(wanted) if small else wanted, keys)
 
     def make():
         def step(part: dict[str, list]) -> dict[str, list]:
-            out = {k: part[k] for k in WITH_SET.names[:-1]}
-            return out | {"shingles": [shingle_set(x).tobytes() for x in part["text"]]}
+            return {k: part[k] for k in names} | {"shingles": [shingle_set(x).tobytes() for x in part["text"]]}
 
         return step
 
-    rows = map_slices(texts.select(*WITH_SET.names[:-1], "text"), WITH_SET, make)
-    bins = max(1, -(-count // rules.bin_rows))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    alone = rows.filter("blocks = 1").withColumn("g", F.pmod(F.xxhash64("root"), F.lit(bins)))
-    alone = alone.withColumn("p", F.lit(-1)).withColumn("q", F.lit(-1))
-    split = rows.filter("blocks > 1").withColumn("o", other).withColumn("g", F.col("root"))
-    split = split.withColumn("p", F.least("at", "o")).withColumn("q", F.greatest("at", "o")).drop("o")
+    rows = map_slices(texts.select(*names, "text"), WITH_SET, make)
+    none = F.lit(None).cast("long")
+    if pairs is None:
+        rows = rows.withColumns({"p": none, "q": none})
+    elif small:
+        rows = rows.join(F.broadcast(pairs), "block", "left")
+    else:
+        rows = Scratch(docs.sparkSession, "ngramjoin-sets").save(rows, "sets")
+        met = rows.join(pairs, "block")
+        rows = met.unionByName(rows.filter("block is null").withColumns({"p": none, "q": none}))
+    rows = rows.withColumn("g", F.when(F.col("p").isNull(), F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(-1))
     threshold, arrow = rules.threshold, to_arrow_schema(LINKED)
 
     def verify(part: pa.Table) -> pa.Table:
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(_verify(part, threshold), arrow)], schema=arrow)
 
-    found = alone.unionByName(split).groupBy("g", "p", "q").applyInArrow(verify, LINKED)
-    found = scratch.save(found, "found")
-    crossing = found.filter("not final and near <> node").select(F.col("node").alias("u"), F.col("near").alias("v"))
-    merged = connected_components(crossing, scratch)
-    links = found.groupBy("node").agg(F.sum("links").alias("links"), F.min("near").alias("near"))
-    return links.join(merged, "node", "left").select("node", "links", F.coalesce("root", "near").alias("near"))
+    return rows.groupBy("g", "p", "q").applyInArrow(verify, LINKED)

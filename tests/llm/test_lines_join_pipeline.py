@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -5,7 +6,8 @@ import corpus_pipeline
 import public_tokenizers
 import pytest
 
-from quillstone.llm import common, components, linededup, mixing, ngramjoin, packing, quality
+from quillstone.llm import common, linededup, mixing, ngramjoin, packing, quality
+from quillstone.operators import fixpoint
 from tests.llm import cases
 
 
@@ -92,6 +94,40 @@ def test_join_equals_brute_force(spark, block):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
 
 
+@pytest.mark.parametrize("rules", [ngramjoin.JoinRules(block=4), ngramjoin.JoinRules(block=4, broadcast_rows=0), ngramjoin.JoinRules(block_bytes=4000)])
+def test_chains_are_joined_by_blocks_that_share_a_band(spark, rules):
+    """Windows of one long text, each alike to its neighbours alone, and a group in which all are alike."""
+    whole = cases.prose(900, 5).split()
+    texts = [" ".join(whole[at : at + 200]) for at in range(0, 700, 10)]
+    base = cases.prose(100, 6).split()
+    texts += [" ".join([*base[:k], "other", *base[k:]]) for k in range(10, 40)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(ngramjoin.jaccard_join(frame, rules).collect())
+    links, root = brute_join(texts, 0.8)
+    assert len(set(root)) == 2 and max(links[:70]) < 6
+    assert [r.n_links for r in got] == links and [r.class_id for r in got] == root
+
+
+TABLES = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.exists(TABLES), reason="needs the driver's tables")
+def test_recall_of_every_twentieth_document_against_all(spark):
+    frame = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text")
+    rows = sorted((r.doc_id, r.text) for r in frame.collect())
+    sets = {i: cases.shingles(t) for i, t in rows}
+    holders = defaultdict(set)
+    for i, s in sets.items():
+        for x in s or {None}:
+            holders[x].add(i)
+    got = {r.doc_id: r for r in ngramjoin.jaccard_join(frame).collect()}
+    for i in [i for i in sets if i % 20 == 0]:
+        shared = Counter(j for x in sets[i] or {None} for j in holders[x] if j != i)
+        near = {j for j, n in shared.items() if not sets[i] or n >= 0.8 * (len(sets[i]) + len(sets[j]) - n)}
+        assert got[i].n_links == len(near)
+        assert {got[j].class_id for j in near} <= {got[i].class_id}
+
+
 def test_join_odd_tables(spark):
     docs = cases.docs(spark)
     got = ngramjoin.jaccard_join(docs)
@@ -133,7 +169,9 @@ def test_bands_reach_the_recall():
 def test_components_equal_brute_force(spark, seed):
     pick = random.Random(seed)
     edges = [(pick.randrange(60), pick.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(30)]
-    got = components.connected_components(spark.createDataFrame(edges, "u long, v long"), common.Scratch(spark, "t"))
+    scratch = common.Scratch(spark, "t")
+    frame = spark.createDataFrame(edges, "a long, b long")
+    got = fixpoint.components(frame, lambda df: scratch.save(df, "edges"), scratch.drop)
     root = {x: x for e in edges for x in e}
     for _ in range(200):
         for u, v in edges:
