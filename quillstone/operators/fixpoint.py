@@ -5,11 +5,9 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.operators.spread import hot_keys, spread_join
-
 
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint.
@@ -60,14 +58,16 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), *sums).first())
 
 
-def _to_least(rows: DataFrame, wanted: str, most: int) -> DataFrame:
-    """rows(u, v), most at most, that meet a condition on u, v and m, the least of u's neighbours and u, as (v, m).
+#: A node's edges are met in so many parts at most, so that a hub is no task of its own.
+SALTS = 64
 
-    A node with many neighbours does not gather them in one task: its m is broadcast to them.
-    """
-    hot = hot_keys(rows.groupBy("u").agg(F.count("*").alias("n")), "u", "n", most)
-    least = rows.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return spread_join(rows, least, "u", hot).filter(wanted).select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+def _to_least(rows: DataFrame, wanted: str) -> DataFrame:
+    """rows(u, v) that meet a condition on u, v and m, the least of u's neighbours and u, as (v, m)."""
+    salted = rows.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = salted.groupBy("u", "s").agg(F.min("v").alias("m"))
+    least = parts.withColumn("m", F.least(F.min("m").over(Window.partitionBy("u")), F.col("u")))
+    return salted.join(least, ["u", "s"]).filter(wanted).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def components(
@@ -87,12 +87,11 @@ def components(
             break
         mark = now
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = save(_to_least(both, "v > u", 2 * now[0]).distinct())
-        rest = _to_least(large, "v > m", 2 * now[0])
+        large = _to_least(both, "v > u").distinct()
+        rest = _to_least(large, "v > m")
         ends = large.groupBy("u").agg(F.min("v").alias("v"))
         after = save(rest.unionByName(ends).distinct())
         drop(e)
-        drop(large)
         e = after
     roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
