@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import word_count
+from quillstone.llm.common import Scratch, word_count
 
 
 @dataclass(frozen=True)
@@ -43,60 +43,112 @@ def source_targets(sizes: DataFrame, rules: MixRules) -> DataFrame:
 
 
 def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
-    """Each row of docs(doc_id, text, source) with the words that the mix takes from it.
+    """Each row of docs(doc_id, text, source) with the words that the mix takes from it, in order of finish time.
 
     Within a source documents queue in a fixed random order (MD5 of seed and doc_id), then queue again for each further
-    epoch. A copy's virtual finish time is the words its source has queued up to it, over the source's target. The budget
-    is spent at time 1 for all sources, so that each is cut at its own target and no order over sources is needed; rows
-    are in order of their first copies' finish times, and later copies have no time of their own. The copy that
-    spans the cut gives its first words, so that a source's words are its target to within one word.
+    epoch. A copy's virtual finish time is the words its source has queued up to it, over the source's target. All
+    copies of all sources are sorted by finish time, by range, and the mix ends where their running sum of words has
+    spent the budget. Each source has had its fair share at time 1: the copy in service then is two pieces, its first
+    words finish at time 1 and the rest later, so that a source's words are its target to within one word.
 
     Null texts have no words and are never taken; null sources are one source, the last; rows of equal doc_id queue by
-    their size; other columns are ignored. The running sums go by 4096 hash ranges of a source first and within each
-    range then, so that no task holds a source.
+    their size; an empty table gives an empty one; other columns are ignored. Running sums go by 4096 hash ranges of a
+    source first and within each range then, so that no task holds a source; the sorted pieces are summed by range
+    first, then within the one range in which the budget ends.
     """
-    out = _queued(docs.select("doc_id", "source", "text"), rules)
+    scratch = Scratch(docs.sparkSession, "mixing")
+    sized = scratch.save(_sized(docs.select("doc_id", "source", "text"), rules), "sized")
+    starts = scratch.save(_starts(sized, rules), "starts")
+    rows = scratch.save(_queued(sized, starts), "queue")
+    out = rows.withColumn("taken", _taken(rules, _end_time(rows, rules, scratch)))
+    out = out.withColumn("finish", _finish(F.col("start") + F.col("size")))
+    out = out.select("doc_id", "source", "size", "source_size", "target", "taken", "finish")
     return out.orderBy(F.col("finish").asc_nulls_last(), F.col("source").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
 
 
-def _queued(docs: DataFrame, rules: MixRules, *carried: str) -> DataFrame:
-    """mix() without its order, with columns that rows carry along. The first of those breaks ties of the queue."""
+def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
+    """docs(doc_id, text, source, ...), each row as often as the mix takes it: whole copies, the cut one too.
+
+    Every row queues on its own, with all its columns; rows equal in doc_id and size queue by the hash of their text.
+    Texts move once, after the end of the mix is known from sizes alone.
+    """
+    scratch = Scratch(docs.sparkSession, "mixing")
+    rows = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("_text"), F.struct(*docs.columns).alias("_row"))
+    sized = scratch.save(_sized(rows.drop("_row"), rules, "_text"), "sized")
+    starts = scratch.save(_starts(sized, rules), "starts")
+    end = _end_time(_queued(sized, starts, "_text"), rules, scratch)
+    taken = _queued(_sized(rows, rules, "_text", "_row"), starts, "_text", "_row").withColumn("taken", _taken(rules, end))
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    return taken.filter("taken > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select("_row.*")
+
+
+def _sized(docs: DataFrame, rules: MixRules, *carried: str) -> DataFrame:
+    """Each row's words, and its place in the fixed random order: _key, of which _range is the beginning."""
     key = F.md5(F.concat(F.lit(rules.seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"), *carried)
-    rows = rows.withColumn("_range", F.substring("_key", 1, 3))
-    by_range = rows.groupBy("source", "_range").agg(F.sum("size").alias("_words"))
+    return rows.withColumn("_range", F.substring("_key", 1, 3))
+
+
+def _starts(sized: DataFrame, rules: MixRules) -> DataFrame:
+    """Of each range of a source: the words queued before it, and the source's size, target and target in whole words."""
+    by_range = sized.groupBy("source", "_range").agg(F.sum("size").alias("_words"))
     targets = source_targets(by_range.groupBy("source").agg(F.sum("_words").alias("source_size")), rules)
     ranges = by_range.withColumn(
         "_start", F.sum("_words").over(Window.partitionBy("source").orderBy("_range")) - F.col("_words")
     )
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    starts = ranges.join(targets, same(ranges, targets)).select(
-        ranges["source"].alias("_source"), ranges["_range"].alias("_at"), "_start", "source_size", "target"
-    )
+    both = ranges.join(targets, ranges["source"].eqNullSafe(targets["source"]))
+    words = F.round("target").cast("long").alias("words")
+    return both.select(ranges["source"].alias("_source"), ranges["_range"].alias("_at"), "_start", "source_size", "target", words)
+
+
+def _queued(sized: DataFrame, starts: DataFrame, *carried: str) -> DataFrame:
+    """(doc_id, source, size, source_size, target, words, start): start is what the source has queued before the row.
+
+    Columns carried stay; the first of them breaks ties of the queue.
+    """
     queue = Window.partitionBy("source", "_range").orderBy("_key", "size", F.col("doc_id").asc_nulls_last(), *carried[:1])
-    rows = rows.withColumn("_before", F.sum("size").over(queue.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    before = F.sum("size").over(queue.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    rows = sized.withColumn("_before", before)
     rows = rows.join(starts, rows["source"].eqNullSafe(starts["_source"]) & (rows["_range"] == starts["_at"]))
-    before = F.col("_start") + F.col("_before")
-    words = F.round("target").cast("long")
+    start = (F.col("_start") + F.col("_before")).alias("start")
+    return rows.select("doc_id", "source", "size", "source_size", "target", "words", start, *carried)
 
-    def epoch(k: int) -> Column:
-        left = words - before - F.col("source_size") * k
-        return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left))
 
-    taken = epoch(0)
-    for k in range(1, rules.max_epochs):
-        taken = taken + epoch(k)
-    finish = F.try_divide((before + F.col("size")).cast("double"), F.col("target"))
-    out = ["doc_id", "source", "size", "source_size", "target", taken.alias("taken"), finish.alias("finish")]
-    return rows.select(*out, *carried)
+def _finish(upto: Column) -> Column:
+    """Virtual time at which a source has served so many words; null for one with none to serve."""
+    return F.try_divide(upto.cast("double"), F.col("words").cast("double"))
 
 
-def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
-    """docs(doc_id, text, source, ...), each row as often as the mix takes it: whole copies, the cut one too.
+def _pieces(rules: MixRules) -> Column:
+    """array<struct<finish, n>> of a queued row: its copies, the one in service at time 1 as two pieces."""
+    out = []
+    for k in range(rules.max_epochs):
+        start = F.col("start") + F.col("source_size") * k
+        first = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("words") - start))
+        for upto, n in ((start + first, first), (start + F.col("size"), F.col("size") - first)):
+            finish = F.coalesce(_finish(upto), F.lit(float("inf")))
+            out.append(F.when(n > 0, F.struct(finish.alias("finish"), n.alias("n"))))
+    return F.array_compact(F.array(*out))
 
-    Every row queues on its own, with all its columns; rows equal in doc_id and size queue by the hash of their text.
+
+def _end_time(rows: DataFrame, rules: MixRules, scratch: Scratch) -> float:
+    """Finish time of the last of the sorted pieces whose running sum of words is within the budget.
+
+    Sums of ranges come to the driver, one a partition. Pieces of equal finish time stay or go together.
     """
-    rows = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("_text"), F.struct(*docs.columns).alias("_row"))
-    taken = _queued(rows, rules, "_text", "_row").filter("taken > 0")
-    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select("_row.*")
+    pieces = rows.select(F.inline(_pieces(rules))).repartitionByRange("finish").withColumn("part", F.spark_partition_id())
+    pieces = scratch.save(pieces, "pieces")
+    budget = rows.select("source", "words").distinct().agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    before, end = 0, 0.0
+    for part, n, latest in sorted(pieces.groupBy("part").agg(F.sum("n"), F.max("finish")).collect()):
+        if before + n > budget:
+            upto = F.sum("n").over(Window.partitionBy("part").orderBy("finish")) + before
+            within = pieces.filter(F.col("part") == part).withColumn("upto", upto).filter(F.col("upto") <= budget)
+            return within.agg(F.coalesce(F.max("finish"), F.lit(end))).first()[0]
+        before, end = before + n, latest
+    return end
+
+
+def _taken(rules: MixRules, end: float) -> Column:
+    """Words of a queued row's pieces that finish by the end of the mix."""
+    return F.aggregate(_pieces(rules), F.lit(0).cast("long"), lambda a, p: a + F.when(p["finish"] <= end, p["n"]).otherwise(0))

@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 
 import duckdb
@@ -79,11 +80,32 @@ def test_targets_and_taken(spark):
     for s, target in zip(sources, want):
         rows = [r for r in got if r.source == s]
         assert all(r.target == pytest.approx(target) and r.source_size == size[s] for r in rows)
-        if s not in (None, "a", "b"):
-            assert abs(sum(r.taken for r in rows) - target) <= 1
+        assert abs(sum(r.taken for r in rows) - target) <= 1
         assert all(0 <= r.taken <= 2 * r.size for r in rows)
 
 
+@pytest.mark.parametrize("parts", ["1", "7"])
+def test_cut_by_running_sums_is_each_sources_share(spark, parts):
+    """The words taken, by hand: each source's queue up to its target."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        docs = cases.docs(spark, [(i, cases.prose(3 + i * i % 90, i), "aaabbcdddd"[i % 10]) for i in range(120)] + [(200, "", "z"), (201, None, "y")])
+        got = mixing.mix(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for s in {r.source for r in got}:
+        rows = sorted((r for r in got if r.source == s), key=lambda r: hashlib.md5(f"mix-1:{r.doc_id}".encode()).hexdigest())
+        at = 0
+        for r in rows:
+            words = round(r.target)
+            want = sum(max(0, min(r.size, words - at - k * r.source_size)) for k in (0, 1))
+            assert r.taken == want
+            at += r.size
+    times = [r.finish for r in got if r.finish is not None]
+    assert times == sorted(times)
+
+
 def test_mixed_documents_repeat_whole_rows(spark):
     docs = cases.docs(spark, [(i, cases.prose(50, i), "ab"[i % 2]) for i in range(40)])
     taken = {r.doc_id: -(-r.taken // r.size) for r in mixing.mix(docs).collect()}
