@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillstone.llm.common import SLICE_ROWS, WHITESPACE, map_slices
@@ -33,9 +34,10 @@ class Band:
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Production limits. Short texts compress worse, as a frame has fixed costs, so that limits go by length.
+    """Limits by length: short texts compress worse, as a frame has fixed costs, and long ones better.
 
-    Prose of any length compresses between the limits; text below is noise or encoded data, text above repeats itself.
+    The bands are what fit_bands() gives for the labelled good documents of the tables at scale 0.1; a corpus of another
+    kind needs its own. Text below them is noise or encoded data, text above repeats itself.
     """
 
     min_words: int = 10
@@ -43,21 +45,25 @@ class QualityRules:
     level: int = 3
     chunk_bytes: int = 4096
     bands: tuple[Band, ...] = (
-        Band(0, 0.55, 1.75, 0.55, 1.75),
-        Band(128, 0.85, 2.00, 0.85, 2.00),
-        Band(256, 1.05, 1.90, 1.05, 1.90),
-        Band(512, 1.20, 2.12, 1.20, 2.12),
-        Band(1024, 1.35, 2.23, 1.35, 2.23),
-        Band(2048, 1.45, 2.29, 1.45, 2.29),
-        Band(4096, 1.55, 2.41, 1.45, 2.32),
-        Band(8192, 1.60, 2.46, 1.45, 2.34),
-        Band(16384, 1.65, 2.70, 1.45, 2.36),
+        Band(0, 0.0, 1.51, 0.0, 1.51),
+        Band(128, 0.0, 1.9, 0.0, 1.9),
+        Band(256, 0.72, 1.85, 0.72, 1.85),
+        Band(512, 0.59, 2.14, 0.59, 2.14),
+        Band(1024, 1.19, 2.2, 1.19, 2.2),
+        Band(2048, 1.54, 2.27, 1.54, 2.27),
+        Band(4096, 1.74, 2.35, 1.63, 2.3),
+        Band(8192, 1.83, 2.42, 1.84, 2.28),
+        Band(16384, 1.83, 2.49, 1.84, 2.28),
+        Band(32768, 1.83, 2.56, 1.84, 2.28),
+        Band(65536, 1.83, 2.63, 1.84, 2.28),
+        Band(131072, 1.83, 2.7, 1.84, 2.28),
     )
 
 
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("n_bytes", T.LongType()),
         T.StructField("n_words", T.LongType()),
         T.StructField("word_chars", T.LongType()),
         T.StructField("n_symbols", T.LongType()),
@@ -120,7 +126,7 @@ def measure(text: str | None, rules: QualityRules, zstd: zstandard.ZstdCompresso
     ratios = [len(x) / len(zstd.compress(x)) for x in chunks] or [ratio]
     band = [b for b in rules.bands if size >= b.from_bytes][-1]
     fits = band.whole_low <= ratio <= band.whole_high and band.chunk_low <= min(ratios) and max(ratios) <= band.chunk_high
-    return n, chars, symbols, len(lines) - len(set(lines)), repeated, failed, ratio, min(ratios), max(ratios), fits and not failed
+    return size, n, chars, symbols, len(lines) - len(set(lines)), repeated, failed, ratio, min(ratios), max(ratios), fits and not failed
 
 
 def keep_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -155,3 +161,37 @@ def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
         return step
 
     return map_slices(docs.select("doc_id", "text"), SCHEMA, make)
+
+
+def fit_bands(
+    docs: DataFrame, good: DataFrame, rules: QualityRules = QualityRules(), low: float = 12.0, high: float = 4.0, least: int = 30
+) -> tuple[Band, ...]:
+    """Limits for the lengths of rules.bands, from the documents of docs(doc_id, text) whose doc_id is in good(doc_id).
+
+    In each length class the limits lie low spreads under and high spreads over the median ratio of those documents; a
+    spread is half the distance between the 16th and the 84th percentile. A class of fewer than least documents goes on
+    from the two classes before: its whole limits move as theirs did, its chunk limits stay. Documents that fail the word
+    rules, and null ids, teach nothing. One row a class comes to the driver. Without any class large enough: ValueError.
+    """
+    at = [b.from_bytes for b in rules.bands]
+    rows = quality_rules(docs, rules).filter("not base_failed").join(good.select("doc_id").distinct(), "doc_id", "left_semi")
+    place = sum(((F.col("n_bytes") >= x).cast("int") for x in at[1:]), F.lit(0))
+    names = ("ratio", "min_chunk_ratio", "max_chunk_ratio")
+    cuts = [F.percentile_approx(x, F.lit([0.16, 0.5, 0.84]), 10_000).alias(x) for x in names]
+    found = {r.place: r for r in rows.groupBy(place.alias("place")).agg(F.count("*").alias("n"), *cuts).collect() if r.n >= least}
+    if not found:
+        raise ValueError("no length class has enough documents")
+
+    def limit(values: list[float], times: float) -> float:
+        return max(0.0, round(values[1] + times * (values[2] - values[0]) / 2, 2))
+
+    bands: list[Band] = []
+    for k, start in enumerate(at):
+        r = found.get(k) or (None if bands else found[min(found)])
+        if r is not None:
+            band = Band(start, limit(r.ratio, -low), limit(r.ratio, high), limit(r.min_chunk_ratio, -low), limit(r.max_chunk_ratio, high))
+        else:
+            a, b = bands[max(0, k - 2)], bands[k - 1]
+            band = Band(start, b.whole_low, round(2 * b.whole_high - a.whole_high, 2), b.chunk_low, b.chunk_high)
+        bands.append(band)
+    return tuple(bands)

@@ -1,8 +1,11 @@
 import hashlib
+import os
 from collections import Counter
 
 import duckdb
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 from quillstone.llm import mixing, quality, queries
 from tests.llm import cases
@@ -111,3 +114,44 @@ def test_mixed_documents_repeat_whole_rows(spark):
     taken = {r.doc_id: -(-r.taken // r.size) for r in mixing.mix(docs).collect()}
     got = Counter(r.doc_id for r in mixing.mixed_documents(docs).collect())
     assert got == Counter({k: v for k, v in taken.items() if v})
+
+
+@pytest.mark.parametrize("size", [1, 4095, 4096, 6143, 6144, 10239, 10240, 50_000])
+def test_ratios_and_verdict_equal_brute_force(size):
+    """Chunks of 4,096 bytes, a tail under half of one going with the chunk before, each a frame of its own."""
+    text = (cases.prose(size, size) + " " * size)[:size]
+    rules, zstd = quality.QualityRules(), zstandard.ZstdCompressor(level=3)
+    row = dict(zip(quality.SCHEMA.names[1:], quality.measure(text, rules, zstd)))
+    data = text.encode()
+    n = max(1, (size + 2048) // 4096)
+    chunks = [data[4096 * k : 4096 * (k + 1) if k < n - 1 else size] for k in range(n)]
+    ratio = lambda x: len(x) / len(zstandard.ZstdCompressor(level=3).compress(x))
+    assert row["n_bytes"] == size and row["ratio"] == ratio(data)
+    assert (row["min_chunk_ratio"], row["max_chunk_ratio"]) == (min(map(ratio, chunks)), max(map(ratio, chunks)))
+    band = max((b for b in rules.bands if b.from_bytes <= size), key=lambda b: b.from_bytes)
+    inside = band.whole_low <= ratio(data) <= band.whole_high
+    inside &= all(band.chunk_low <= ratio(x) <= band.chunk_high for x in chunks)
+    assert row["kept"] == (inside and not row["base_failed"])
+
+
+DATA = "/root/testdata"
+
+
+@pytest.mark.skipif(not os.path.exists(f"{DATA}/sf0.1"), reason="needs the driver's tables")
+def test_bands_are_what_the_labelled_documents_give(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    assert quality.fit_bands(docs, labels.filter("quality = 1")) == quality.QualityRules().bands
+
+
+@pytest.mark.skipif(not os.path.exists(f"{DATA}/sf0.01"), reason="needs the driver's tables")
+def test_bands_hold_for_labels_not_seen(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality.QualityRules(bands=quality.fit_bands(docs, labels.filter("quality = 1 and doc_id % 2 = 0"), least=15))
+    unseen = quality.quality_rules(docs, rules).filter("not base_failed").join(labels.filter("doc_id % 2 = 1"), "doc_id")
+    kept = {r.quality: r.kept for r in unseen.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert kept[1] >= 0.97 and kept[0] <= 0.75
+
+
+def test_bands_need_documents(spark):
+    with pytest.raises(ValueError):
+        quality.fit_bands(cases.docs(spark), spark.createDataFrame([], "doc_id long"))
