@@ -1,8 +1,12 @@
 import hashlib
+import math
 import random
 import re
 import string
+from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quillstone.llm import secrets, toxicity
@@ -79,15 +83,79 @@ def test_random_tokens_of_every_alphabet_are_found(spark):
     assert sum(r.count("random:") for r in got.values()) == sum(found)
 
 
+def naive_grams(text, grams):
+    """{n-gram: its 64-bit hash}, by plain integers."""
+    place, salt = [int(x) for x in grams.place], [int(x) for x in grams.salt]
+    padded, out = f" {(text or '').lower()} ", {}
+    for n in grams.orders:
+        for at in range(len(padded) - n + 1):
+            h = sum(ord(c) * place[k] for k, c in enumerate(padded[at : at + n])) % 2**64
+            out[padded[at : at + n]] = (h ^ (h >> 29) ^ salt[n]) * place[0] % 2**64
+    return out
+
+
 def test_grams_equal_brute_force():
-    rules = toxicity.ToxicityRules(bits=16)
+    grams = toxicity.Grams(toxicity.ToxicityRules(bits=16))
+    text = cases.prose(300, 3) + " É\U0001f600 ẞ"
+    for _ in range(2):
+        for x in (text, text.upper(), "", None, "a"):
+            want = naive_grams(x, grams)
+            found = grams.buckets(x)
+            assert sorted(found.tolist()) == sorted({h >> 48 for h in want.values()})
+            index = np.arange(1 << 16, dtype=np.int32)
+            number, check = grams.within(x, index)
+            assert set(zip(number.tolist(), check.tolist())) == {(h >> 48, h & 0xFFFFFFFF) for h in want.values()}
+        grams.BLOCK = 100  # cutting a long text into blocks finds the same
+
+
+def test_features_and_scores_equal_brute_force(spark):
+    rules = toxicity.ToxicityRules(bits=22, min_documents=2, significance=3.0)
+    rows = [(i, cases.prose(20, 500 + i) + (" vileword" if i % 4 == 0 else ""), "s") for i in range(60)]
+    docs = cases.docs(spark, rows)
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    model = toxicity.train(docs, labels, rules)
     grams = toxicity.Grams(rules)
-    text = cases.prose(300, 3)
-    whole = set(grams(text).tolist())
-    assert len(whole) == len(grams(text))
-    grams.BLOCK = 100  # cutting a long text into blocks finds the same
-    assert set(grams(text).tolist()) == whole
-    assert set(grams(text.upper()).tolist()) == whole
+    held = {i: naive_grams(t, grams) for i, t, _ in rows}
+    n = [Counter(g for i in held if (i % 4 == 0) == bool(k) for g in held[i]) for k in (0, 1)]
+    hashes = {g: h for x in held.values() for g, h in x.items()}
+    want = {}
+    for g in n[0].keys() | n[1].keys():
+        if n[0][g] + n[1][g] >= 2:
+            p, q, both = (n[1][g] + 1) / 17, (n[0][g] + 1) / 47, (n[0][g] + n[1][g] + 2) / 64
+            if abs(p - q) / math.sqrt(both * (1 - both) * (1 / 16 + 1 / 46)) >= 3:
+                want.setdefault(hashes[g] >> 42, []).append((hashes[g] & 0xFFFFFFFF, math.log(p / q)))
+    f = model.features
+    assert set(f.bucket.tolist()) == set(want) and len(want) > 15
+    for bucket, check, ratio in zip(f.bucket.tolist(), f.check.tolist(), f.ratio.tolist()):
+        assert any(c == check and r == pytest.approx(ratio) for c, r in want[bucket])
+    weight = {(b, c): w for b, c, w in zip(f.bucket.tolist(), f.check.tolist(), model.weights.tolist())}
+    for r in toxicity.score(docs, model).collect():
+        found = [weight[k] for k in {(h >> 42, h & 0xFFFFFFFF) for h in held[r.doc_id].values()} if k in weight]
+        z = model.bias + sum(found) * min(1, math.sqrt(model.usual / max(1, len(found))))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z))) and r.predicted == (r.score >= 0.3)
+
+
+def test_samples_and_entries_are_bounded_and_reruns_agree(spark):
+    rows = [(i, cases.prose(30, 700 + i % 40) + (" vileword" if i % 3 == 0 else ""), "s") for i in range(120)]
+    docs = cases.docs(spark, rows + rows[:5])
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    some = toxicity.ToxicityRules(sample_rows=60, entries=100)
+    a, b = (toxicity.train(docs, labels, some) for _ in range(2))
+    assert a.features.bucket.tolist() == b.features.bucket.tolist() and np.allclose(a.weights, b.weights)
+    assert 0 < len(a.features.bucket) <= 100
+    every = toxicity.train(docs, labels, toxicity.ToxicityRules(sample_rows=60))
+    assert set(a.features.bucket.tolist()) < set(every.features.bucket.tolist())
+
+
+def test_only_chosen_grams_count_however_long_the_text(spark):
+    """Digits fill most buckets, but hold no n-gram that the model knows."""
+    rows = [(i, cases.prose(40, 900 + i) + (" vileword" if i % 3 == 0 else ""), "s") for i in range(150)]
+    docs = cases.docs(spark, rows)
+    model = toxicity.train(docs, docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic")))
+    digits = random.Random(1)
+    long = "".join(str(digits.randrange(10**9)) for _ in range(40_000))
+    got = {r.doc_id: r for r in toxicity.score(cases.docs(spark, [(1, long, "s"), (2, rows[0][1], "s"), (3, "7", "s")]), model).collect()}
+    assert got[1].score == got[3].score < 0.3 and got[2].predicted == 1
 
 
 def test_toxicity_held_out(spark):
