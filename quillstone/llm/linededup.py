@@ -129,14 +129,17 @@ def line_dedup(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "linededup")
     spans = repeated_runs(docs.select("doc_id", "text").filter(F.col("text").isNotNull()), rules, scratch)
-    cuts = spans.groupBy(*[F.col(c).alias(c + "_") for c in DOC]).agg(F.collect_list(F.struct("a", "b")).alias("_cuts"))
+    cuts = F.array_sort(F.collect_list(F.struct("a", "b"))).alias("_cuts")
+    cuts = spans.groupBy(*[F.col(c).alias(c + "_") for c in DOC]).agg(cuts)
     keep = [c for c in docs.columns if c not in ("n_lines", "n_cut")]
     rows = docs.select(F.struct(*keep).alias("_row"), *[c.alias(k) for k, c in _identity(docs).items()])
     rows = rows.join(cuts, [F.col(c) == F.col(c + "_") for c in DOC], "left")
     rows = rows.select("_row", "_cuts", F.split("_row.text", "\n").alias("_lines"))
-    stays = F.filter(
-        "_lines", lambda _, i: ~F.exists("_cuts", lambda c: (i >= c["a"]) & (i < c["b"]))
-    )
+    # Cuts are in order and apart: what stays is what lies between them.
+    since = lambda k: F.coalesce(F.get("_cuts.b", k - 1), F.lit(0))
+    upto = lambda k: F.coalesce(F.get("_cuts.a", k), F.size("_lines"))
+    between = F.sequence(F.lit(0), F.size("_cuts"))
+    stays = F.flatten(F.transform(between, lambda k: F.slice("_lines", since(k) + 1, upto(k) - since(k))))
     rows = rows.select("_row", "_cuts", "_lines", F.when(F.col("_cuts").isNotNull(), stays).alias("_stays"))
     text = F.when(F.col("_stays").isNull(), F.col("_row.text")).otherwise(F.array_join("_stays", "\n"))
     size = F.coalesce(F.size("_lines"), F.lit(0)).cast("long")
