@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstone.functions.text import alnum_key, iso_date, name_uuid, participant_key, title_key
+from quillstone.functions.text import alnum_key, dedup_key, iso_date, name_uuid, participant_key
 
 _PEOPLE = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("discipline", T.StringType()), T.StructField("role", T.StringType())]))
 #: What a payload may hold, whatever its source.
@@ -91,36 +91,47 @@ def recordings(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
     who = rows.select("source", "key", "id", F.posexplode("p.artists").alias("at", "c")).filter("c.name IS NOT NULL")
     role = F.when(F.lower("c.role").isin(*RECORDING_ROLES), F.lower("c.role")).otherwise("performer")
     who = who.select("source", "key", F.col("c.name").alias("name"), F.struct(role.alias("role"), F.col("c.discipline").alias("discipline")).alias("r"), F.struct("id", "at").alias("o"))
-    who = who.groupBy("source", "key", "name").agg(F.min_by("r", "o").alias("r")).select("source", "key", "name", "r.*")
+    who = who.groupBy("source", "key", "name").agg(F.min_by("r", "o").alias("r"), F.min("o").alias("place"))
+    who = who.select("source", "key", "name", "r.*", "place")
     return heads.select("source", "key", "o.*", "mentions"), who
 
 
 def recording_clusters(releases: DataFrame, participants: DataFrame) -> DataFrame:
     """(source, key, cluster): releases of one title that share a performer, unless catalogue numbers tell them apart [LNK-30].
 
-    Only releases of equal source and title key meet, each block in one task in key order; untitled ones stay alone.
+    Only releases of equal source and title meet, each title in one task. A performer links the first release that lists
+    them, by key, to their others, performers in the order of the releases that list them and of their credits; a link
+    that would bring two catalogue numbers together is left out. Untitled releases stay alone.
     """
-    people = participants.groupBy("source", "key").agg(F.collect_set(participant_key(F.col("name"))).alias("people"))
+    credit = F.struct("place", participant_key(F.col("name")).alias("who"))
+    people = participants.groupBy("source", "key").agg(F.array_sort(F.collect_list(credit))["who"].alias("people"))
     rows = releases.join(people, ["source", "key"], "left").select(
-        "source", "key", title_key(F.coalesce("title", F.lit(""))).alias("block"), alnum_key(F.col("catalogue_number")).alias("number"), "people"
-    )
-    alone = rows.filter("block = ''").select("source", "key", F.col("key").alias("cluster"))
+        "source", "key", dedup_key(F.coalesce("title", F.lit(""))).alias("block"), alnum_key(F.col("catalogue_number")).alias("number"), "people",
+        F.coalesce("title", F.lit("")) != "",
+    ).toDF("source", "key", "block", "number", "people", "titled")
+    alone = rows.filter("NOT titled").select("source", "key", F.col("key").alias("cluster"))
 
     def merge(block: pd.DataFrame) -> pd.DataFrame:
-        groups: list[tuple[list[str], set[str], set[str]]] = []
-        for r in block.sort_values("key").itertuples():
-            keys, who, numbers = [r.key], {x for x in (r.people if r.people is not None else []) if x}, {r.number} - {None, ""}
-            rest = []
-            for g in groups:
-                if g[1] & who and len(g[2] | numbers) <= 1:
-                    keys, who, numbers = g[0] + keys, g[1] | who, g[2] | numbers
-                else:
-                    rest.append(g)
-            groups = [*rest, (keys, who, numbers)]
+        block = block.sort_values("key")
+        group = {r.key: ([r.key], {r.number} - {None, ""}) for r in block.itertuples()}
+        by_person: dict[str, list[str]] = {}
+        for r in block.itertuples():
+            for who in r.people if r.people is not None else []:
+                if who:
+                    by_person.setdefault(who, []).append(r.key)
+        for first, *others in by_person.values():
+            for other in others:
+                x, y = group[first], group[other]
+                if x is y or len(x[1] | y[1]) > 1:
+                    continue
+                x[0].extend(y[0])
+                x[1].update(y[1])
+                for key in y[0]:
+                    group[key] = x
         source = block.source.iloc[0]
-        return pd.DataFrame([(source, k, min(g[0])) for g in groups for k in g[0]], columns=["source", "key", "cluster"])
+        return pd.DataFrame([(source, k, min(g[0])) for k, g in group.items()], columns=["source", "key", "cluster"])
 
-    many = rows.filter("block <> ''").groupBy("source", "block").applyInPandas(merge, "source string, key string, cluster string")
+    many = rows.filter("titled").groupBy("source", "block").applyInPandas(merge, "source string, key string, cluster string")
     return alone.unionByName(many)
 
 

@@ -26,12 +26,12 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str], changing: list[str],
     """old with new merged in by key [ING-02, ING-04].
 
     New keys come in whole; known ones get last_run from new, and `changing` columns only if the hash changed; what
-    identifies a row stays. change tells new, changed, same and absent apart.
+    identifies a row stays; null is a hash like any other. change tells new, changed, same and absent apart.
     """
     o, n = old.select(F.struct(*old.columns).alias("o"), *key), new.select(F.struct(*new.columns).alias("n"), *key)
     both = o.join(n, key, "full_outer")
     isnew, gone = F.col("o").isNull(), F.col("n").isNull()
-    changed = F.col(f"o.{hash_column}") != F.col(f"n.{hash_column}")
+    changed = ~gone & ~F.col(f"o.{hash_column}").eqNullSafe(F.col(f"n.{hash_column}"))
     change = F.when(isnew, "new").when(gone, "absent").when(changed, "changed").otherwise("same")
     out = []
     for c in old.columns:

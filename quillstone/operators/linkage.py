@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from math import log2
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,10 @@ from quillstone.functions.text import log_odds, probability, quarter_bits, rarit
 from quillstone.operators.fixpoint import components
 
 #: Agreement of years, weakest first; ABSENT is no evidence.
-YEAR_LEVELS = ("CONFLICT", "DISTANT", "CLOSE", "EXACT", "ABSENT")
+ABSENT = "ABSENT"
+YEAR_LEVELS = ("CONFLICT", "DISTANT", "CLOSE", "EXACT", ABSENT)
+#: Fixed value: the chance of a level that was not trained.
+UNTRAINED = 0.5
 
 
 def year_level(a: Column, b: Column) -> Column:
@@ -31,13 +35,12 @@ class LinkageModel:
     u: dict[str, dict[str, float]]
 
     def bits(self, column: str, level: Column, names: tuple[str, ...]) -> Column:
-        """log2(m / u) of a level; 0 where it is absent or was not trained [MTH-07]."""
-        from math import log2
-
+        """log2(m / u) of a level; a side on which it was not trained counts UNTRAINED; 0 where a field is absent [MTH-07]."""
         out = F.lit(0.0)
         for i, name in enumerate(names):
-            if name in self.m[column] and name in self.u[column]:
-                out = F.when(level == i, log2(self.m[column][name] / self.u[column][name])).otherwise(out)
+            m, u = self.m[column].get(name, UNTRAINED), self.u[column].get(name, UNTRAINED)
+            if name != ABSENT and m > 0 and u > 0:
+                out = F.when(level == i, log2(m / u)).otherwise(out)
         return out
 
 
@@ -51,10 +54,11 @@ class Cuts:
 
 
 def candidate_pairs(people: DataFrame, most: int = 2000) -> DataFrame:
-    """(a, b), a < b: people that share a surname key, or a full key at least one side of which is anchored [JON-10, LNK-03].
+    """(a, b), a < b: people that share a surname, or a full name that is anchored on one side alone [JON-10, LNK-03].
 
-    people(id, readings). A key that more than `most` hold proposes nothing: the cap is part of the operator, as a
-    name so common says little, and it bounds what a key joins.
+    people(id, readings). A key that more than `most` hold on a side proposes nothing: the cap is part of the operator,
+    as a name so common says little, and it bounds what a key joins. Two anchored holders of a full name meet by their
+    surname or, if that is too common, not at all.
     """
     keys = people.select("id", F.explode(block_keys(F.col("readings"))).alias("k")).select("id", "k.key", "k.anchored")
     keys = keys.groupBy("id", "key").agg(F.max("anchored").alias("anchored"))
@@ -63,17 +67,31 @@ def candidate_pairs(people: DataFrame, most: int = 2000) -> DataFrame:
     keys = keys.join(sides.select("key"), "key")
     a = keys.select("key", F.col("id").alias("a"), F.col("anchored").alias("x"))
     b = keys.select("key", F.col("id").alias("b"), F.col("anchored").alias("y"))
-    return a.join(b, "key").filter("a < b AND (x OR y)").select("a", "b").distinct()
+    full = F.contains("key", F.lit("|"))
+    meet = F.when(full, F.col("x") != F.col("y")).otherwise(F.col("x") & F.col("y"))
+    return a.join(b, "key").filter((F.col("a") < F.col("b")) & meet).select("a", "b").distinct()
+
 
+def pair_weighted_mean(counts: DataFrame, most: int) -> DataFrame:
+    """(reference): geometric mean of counts(n), each weighed by the pairs that its holders make [AGG-22].
+
+    Values of more than `most` holders make no pairs that are scored, and values of one make none at all: both are left
+    out. If nothing is left, the plain mean; 0 without counts.
+    """
+    pairs = F.when((F.col("n") > 1) & (F.col("n") <= most), F.col("n") * (F.col("n") - 1) / 2)
+    mean = F.exp(F.sum(pairs * F.log(F.col("n").cast("double"))) / F.sum(pairs))
+    return counts.agg(F.coalesce(mean, F.avg("n"), F.lit(0.0)).alias("reference"))
 
-def term_frequencies(people: DataFrame, most: int = 2000) -> tuple[DataFrame, float]:
-    """(term, n) of surnames, one count a person, and the pair-weighted geometric mean of n, capped [LNK-04, AGG-22]."""
-    terms = people.select("id", F.explode("readings").alias("r")).filter("r.reading = 'primary' AND r.surname <> ''")
-    n = terms.groupBy(F.col("r.surname").alias("term")).agg(F.countDistinct("id").alias("n"))
-    held = F.least("n", F.lit(most)).cast("double")
-    pairs = held * (held - 1) / 2
-    mean = n.filter("n > 1").agg(F.exp(F.sum(pairs * F.log(held)) / F.sum(pairs))).first()[0]
-    return n, float(mean or 0.0)
+
+def term_frequencies(people: DataFrame, most: int = 2000, part: str = "surname") -> tuple[DataFrame, float]:
+    """(term, n) of surnames, or of whole given names, one count a person, and their pair-weighted mean [LNK-04].
+
+    Every reading counts but a surname-first one, which is a guess.
+    """
+    terms = people.select("id", F.explode("readings").alias("r")).filter("r.reading <> 'reordered'")
+    term = F.col("r.surname") if part == "surname" else F.array_join("r.given", " ")
+    n = terms.select("id", term.alias("term")).filter("term <> ''").groupBy("term").agg(F.countDistinct("id").alias("n"))
+    return n, pair_weighted_mean(n, most).first().reference
 
 
 def compared(pairs: DataFrame, people: DataFrame) -> DataFrame:
@@ -97,11 +115,25 @@ def compared(pairs: DataFrame, people: DataFrame) -> DataFrame:
     )
 
 
-def scored(rows: DataFrame, model: LinkageModel, surnames: DataFrame, reference: float) -> DataFrame:
-    """(a, b, score, given, birth, death): of each pair the reading that scores best [LNK-05, MTH-07]."""
-    rows = rows.join(surnames.select(F.col("term").alias("surname"), "n"), "surname", "left")
-    rare = rarity_bits(F.lit(reference), F.coalesce("n", F.lit(0))) if reference else F.lit(0.0)
-    weight = log_odds(F.lit(model.prior)) + rare + model.bits("given", F.col("given"), GIVEN_LEVELS)
+def rarity(rows: DataFrame, column: str, frequencies: tuple[DataFrame, float] | None, out: str) -> DataFrame:
+    """rows with the bits that the rarity of the term in column gives; 0 for null and unknown terms [LNK-38]."""
+    if frequencies is None or not frequencies[1]:
+        return rows.withColumn(out, F.lit(0.0))
+    terms = frequencies[0].select(F.col("term").alias(column), F.col("n").alias("_n"))
+    bits = rarity_bits(F.lit(frequencies[1]), F.coalesce("_n", F.lit(0)))
+    return rows.join(terms, column, "left").withColumn(out, bits).drop("_n")
+
+
+def scored(
+    rows: DataFrame, model: LinkageModel, surnames: tuple[DataFrame, float], givens: tuple[DataFrame, float] | None = None
+) -> DataFrame:
+    """(a, b, score, given, birth, death): of each pair the readings that score best [LNK-05, LNK-38, MTH-07].
+
+    surnames, givens: term_frequencies(). A rare surname in common speaks for a pair, a rare given name too where both
+    spell it out.
+    """
+    rows = rarity(rarity(rows, "surname", surnames, "_s"), "shared", givens, "_g")
+    weight = log_odds(F.lit(model.prior)) + F.col("_s") + F.col("_g") + model.bits("given", F.col("given"), GIVEN_LEVELS)
     weight = weight + model.bits("birth", F.col("birth"), YEAR_LEVELS) + model.bits("death", F.col("death"), YEAR_LEVELS)
     rows = rows.withColumn("score", probability(weight))
     best = F.max_by(F.struct("given", "birth", "death"), F.struct("score", "given", "birth", "death"))
@@ -145,17 +177,28 @@ def cluster(edges: DataFrame, barred: DataFrame) -> DataFrame:
 
 
 def _merge(rows: pd.DataFrame) -> pd.DataFrame:
-    bars = {frozenset(p) for p in rows[rows.score.isna()][["a", "b"]].itertuples(index=False, name=None)}
+    bars: dict[int, set[int]] = {}
+    for a, b in rows[rows.score.isna()][["a", "b"]].itertuples(index=False, name=None):
+        bars.setdefault(a, set()).add(b)
+        bars.setdefault(b, set()).add(a)
     edges = rows[rows.score.notna()].sort_values(["score", "a", "b"], ascending=[False, True, True])
-    home: dict[int, set[int]] = {}
+    home: dict[int, tuple[set[int], set[int]]] = {}  # a cluster's members, and all that they are barred from
     for a, b in edges[["a", "b"]].itertuples(index=False, name=None):
-        x, y = home.setdefault(a, {a}), home.setdefault(b, {b})
-        if x is y or any(frozenset((p, q)) in bars for p in x for q in y):
+        x, y = (home.setdefault(n, ({n}, set(bars.get(n, ())))) for n in (a, b))
+        if x is y or not x[0].isdisjoint(y[1]):
             continue
-        x |= y
-        for node in y:
-            home[node] = x
-    return pd.DataFrame([(node, min(group)) for node, group in sorted(home.items())], columns=["node", "cluster"])
+        large, small = (x, y) if len(x[0]) >= len(y[0]) else (y, x)
+        large[0].update(small[0])
+        large[1].update(small[1])
+        for node in small[0]:
+            home[node] = large
+    return pd.DataFrame([(node, min(group)) for node, (group, _) in sorted(home.items())], columns=["node", "cluster"])
+
+
+def refused(edges: DataFrame, homes: DataFrame) -> DataFrame:
+    """(a, b, score) of the edges whose ends cluster() keeps apart [LNK-11, LNK-39]."""
+    at = lambda s: homes.select(F.col("node").alias(s), F.col("cluster").alias(f"_{s}"))
+    return edges.join(at("a"), "a").join(at("b"), "b").filter("_a <> _b").select("a", "b", "score")
 
 
 def canonical_members(clusters: DataFrame, people: DataFrame) -> DataFrame:
@@ -242,3 +285,42 @@ def partition_summary(clusters: DataFrame) -> DataFrame:
     """clusters, members and the largest, of clusters of two or more [LNK-39]."""
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n")).filter("n > 1")
     return sizes.agg(F.count("*").alias("clusters"), F.coalesce(F.sum("n"), F.lit(0)).alias("members"), F.max("n").alias("largest"))
+
+
+def evaluated(pairs: DataFrame, score: Column, threshold: float) -> DataFrame:
+    """(provenance, tp, fp, fn, tn, precision, recall, f1) of pairs(label, weight, provenance), and of all ('overall') [LNK-20].
+
+    Counts are sums of weights. A score of threshold or more predicts label 1; null where a share has no pairs.
+    """
+    hit = score >= threshold
+    n = lambda p, y, name: F.coalesce(F.sum(F.when((hit == p) & (F.col("label") == y), F.col("weight"))), F.lit(0.0)).alias(name)
+    sums = [n(True, 1, "tp"), n(True, 0, "fp"), n(False, 1, "fn"), n(False, 0, "tn")]
+    rows = pairs.rollup("provenance").agg(F.grouping("provenance").alias("_all"), *sums)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    return rows.select(
+        F.when(F.col("_all") == 1, "overall").otherwise(F.col("provenance")).alias("provenance"), "tp", "fp", "fn", "tn",
+        F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, tp + fn).alias("recall"),
+        F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f1"),
+    )
+
+
+def names_only(model: LinkageModel, given: Column, bits: Column) -> Column:
+    """The score without dates, which the labels may be made of [LNK-20]."""
+    return probability(log_odds(F.lit(model.prior)) + bits + model.bits("given", given, GIVEN_LEVELS))
+
+
+#: The plain scorer that models are held against: by equal given names, by initials, by a lone surname, else;
+#: what equal years add, and what years apart leave.
+PLAIN_BASES, PLAIN_YEAR, PLAIN_APART = (0.95, 0.90, 0.70, 0.20), 0.2, 0.05
+
+
+def plain_score(a: Column, b: Column, birth_a: Column, birth_b: Column) -> Column:
+    """A scorer without a model: a, b are structs(surname, given); initials stand for given names [LNK-20]."""
+    first = lambda x: F.transform(x["given"], lambda w: F.substring(w, 1, 1))
+    short = F.least(F.size(a["given"]), F.size(b["given"]))
+    alike = (short > 0) & (F.slice(first(a), 1, F.greatest(short, F.lit(1))) == F.slice(first(b), 1, F.greatest(short, F.lit(1))))
+    equal = (short > 0) & (a["given"] == b["given"])
+    base = F.when(equal, PLAIN_BASES[0]).when(alike, PLAIN_BASES[1]).when(short == 0, PLAIN_BASES[2]).otherwise(PLAIN_BASES[3])
+    apart = F.abs(birth_a - birth_b)
+    dated = F.when(apart > 1, PLAIN_APART).when(apart <= 1, F.round(F.least(F.lit(1.0), base + PLAIN_YEAR), 4)).otherwise(base)
+    return F.when(a["surname"] == b["surname"], dated).otherwise(0.0)

@@ -27,15 +27,20 @@ class WorkCuts:
 EXTERNAL, CATALOGUE, OPUS = 0.99, 0.97, 0.92
 CONFLICT, OPUS_CONFLICT, PLACE_CONFLICT = 0.05, 0.10, 0.15
 
-FEATURES = "struct<core:string,kind:string,opus:string,number:int,key:string,ids:array<string>,externals:array<string>,derivation:string>"
+FEATURES = "struct<core:string,kind:string,opus:string,number:int,key:string,ids:array<string>,externals:array<string>,derivation:string,parents:array<string>>"
 
 
 def features(title: Column, surname: Column, externals: Column) -> Column:
-    """The struct FEATURES of a title. Title folding runs batch-wise in Python, all else in the JVM [STR-10]."""
+    """The struct FEATURES of a title. Title folding runs batch-wise in Python, all else in the JVM [STR-10].
+
+    The catalogue numbers in a derived work's title are its parent's, not its own.
+    """
+    numbers, derived, none = titles.catalogue_ids(title, surname), titles.derivation(title).isNotNull(), F.array().cast("array<string>")
     return F.struct(
         titles.core_title(title_key(title)).alias("core"), titles.work_type(title).alias("kind"), titles.opus(title).alias("opus"),
         titles.number_in_opus(title).alias("number"), titles.musical_key(title).alias("key"),
-        titles.catalogue_ids(title, surname).alias("ids"), externals.alias("externals"), titles.derivation(title).alias("derivation"),
+        F.when(derived, none).otherwise(numbers).alias("ids"), externals.alias("externals"), titles.derivation(title).alias("derivation"),
+        F.when(derived, numbers).otherwise(none).alias("parents"),
     )
 
 
@@ -57,22 +62,26 @@ def length_bound(a: Column, b: Column) -> Column:
     return F.when(total == 0, 1.0).otherwise(2.0 * F.least(F.length(a), F.length(b)) / total)
 
 
-def _schemes(ids: Column) -> Column:
-    return F.transform(ids, lambda x: F.split_part(x, F.lit(":"), F.lit(1)))
+def _scheme(i: Column) -> Column:
+    return F.split_part(i, F.lit(":"), F.lit(1))
+
+
+def _numbered_apart(x: Column, y: Column) -> Column:
+    """Whether some scheme numbers both sides and no number of it is the same."""
+    ours, theirs = (F.array_distinct(F.transform(i, _scheme)) for i in (x, y))
+    both = F.array_intersect(ours, theirs)
+    return F.exists(both, lambda s: ~F.arrays_overlap(F.filter(x, lambda i: _scheme(i) == s), F.filter(y, lambda i: _scheme(i) == s)))
 
 
 def identifier_score(a: Column, b: Column) -> Column:
-    """The score that identifiers settle, or null [LNK-21]."""
-    ids, ext = (F.concat(x["ids"], x["externals"]) for x in (a, b)), None
-    x, y = ids
-    same_scheme = F.filter(x, lambda i: F.array_contains(_schemes(y), F.split_part(i, F.lit(":"), F.lit(1))))
-    ext = F.arrays_overlap(a["externals"], b["externals"])
+    """The score that identifiers settle, or null [LNK-21]. Two derived works with numbers of different parents differ."""
+    x, y = (F.concat(f["ids"], f["externals"]) for f in (a, b))
     return (
         F.when(~a["derivation"].eqNullSafe(b["derivation"]), CONFLICT)
-        .when(a["derivation"].isNotNull(), None)
-        .when(ext, EXTERNAL)
+        .when(a["derivation"].isNotNull(), F.when(_numbered_apart(a["parents"], b["parents"]), CONFLICT))
+        .when(F.arrays_overlap(a["externals"], b["externals"]), EXTERNAL)
         .when(F.arrays_overlap(x, y), CATALOGUE)
-        .when(F.size(same_scheme) > 0, CONFLICT)
+        .when(_numbered_apart(x, y), CONFLICT)
         .when(a["opus"] != b["opus"], OPUS_CONFLICT)
         .when((a["opus"] == b["opus"]) & (a["number"] != b["number"]), PLACE_CONFLICT)
         .when(a["opus"] == b["opus"], OPUS)
@@ -112,17 +121,24 @@ def best_matches(mentions: DataFrame, works: DataFrame, cuts: WorkCuts = WorkCut
     )
 
 
+def _py_apart(x: set[str], y: set[str]) -> bool:
+    of = lambda ids, scheme: {i for i in ids if i.split(":")[0] == scheme}
+    schemes = {i.split(":")[0] for i in x} & {i.split(":")[0] for i in y}
+    return any(of(x, s).isdisjoint(of(y, s)) for s in schemes)
+
+
 def _py_identifier(a: dict, b: dict) -> float | None:
+    """identifier_score() of two dicts."""
     if a["derivation"] != b["derivation"]:
         return CONFLICT
     if a["derivation"]:
-        return None
+        return CONFLICT if _py_apart({*a["parents"]}, {*b["parents"]}) else None
     x, y = {*a["ids"], *a["externals"]}, {*b["ids"], *b["externals"]}
     if {*a["externals"]} & {*b["externals"]}:
         return EXTERNAL
     if x & y:
         return CATALOGUE
-    if {i.split(":")[0] for i in x} & {i.split(":")[0] for i in y}:
+    if _py_apart(x, y):
         return CONFLICT
     if a["opus"] and b["opus"]:
         if a["opus"] != b["opus"]:

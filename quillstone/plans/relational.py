@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillstone.operators import linkage
 from quillstone.operators import relational as R
 from quillstone.plans.views import composed_by, participants, programmed, table
 
@@ -352,12 +353,11 @@ def agg21_level_patterns(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").groupBy(size.alias("size_level"), price.alias("price_level")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH f AS (SELECT least(count(*), 50) AS n FROM lineitem GROUP BY l_partkey)
-SELECT round(exp(sum(n * (n - 1) / 2 * ln(n)) / sum(n * (n - 1) / 2)), 6) AS reference FROM f WHERE n > 1""")
+@query("""WITH f AS (SELECT count(*) AS n FROM lineitem GROUP BY l_partkey)
+SELECT round(exp(sum(n * (n - 1) / 2 * ln(n)) / sum(n * (n - 1) / 2)), 6) AS reference FROM f WHERE n > 1 AND n <= 30""")
 def agg22_weighted_geometric_mean(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.least(F.count("*"), F.lit(50)).alias("n")).filter("n > 1")
-    pairs = F.col("n") * (F.col("n") - 1) / 2
-    return n.agg(F.round(F.exp(F.sum(pairs * F.log("n")) / F.sum(pairs)), 6).alias("reference"))
+    counts = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n"))
+    return linkage.pair_weighted_mean(counts, 30).select(F.round("reference", 6).alias("reference"))
 
 
 @query("""WITH p AS (SELECT lang, (n_chars < 900) AS guess, quality = 0 AS truth FROM documents JOIN labels USING (doc_id)),

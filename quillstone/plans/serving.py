@@ -163,8 +163,8 @@ MODEL = linkage.LinkageModel(
 @query()
 def lnk06_classified_pairs(spark: SparkSession, d: str) -> DataFrame:
     who = _people(spark, d)
-    terms, reference = linkage.term_frequencies(who)
-    pairs = linkage.scored(linkage.compared(linkage.candidate_pairs(who), who), MODEL, terms, reference)
+    surnames, givens = linkage.term_frequencies(who), linkage.term_frequencies(who, part="given")
+    pairs = linkage.scored(linkage.compared(linkage.candidate_pairs(who), who), MODEL, surnames, givens)
     return linkage.classified(pairs.withColumn("score", F.round("score", 9)))
 
 

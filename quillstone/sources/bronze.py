@@ -51,17 +51,26 @@ class Files:
             stream.close()
 
     def write(self, path: str, text: str) -> None:
-        """Replaces the file by renaming a complete one into its place."""
-        fs, where = self._at(path)
+        """Replaces the file by a complete one: a reader finds the old text or the new one, never none."""
         _, part = self._at(f"{path}.{uuid.uuid4().hex}.part")
+        fs, _ = self._at(path)
         stream = fs.create(part, True)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        fs.delete(where, False)
-        if not fs.rename(part, where):
-            raise OSError(f"cannot replace {path}")
+        self.replace(part, path)
+
+    def replace(self, part, path: str) -> None:
+        """Moves the file part over path in one step."""
+        fs, where = self._at(path)
+        options = self.context._jvm.org.apache.hadoop.fs.Options
+        how = self.context._gateway.new_array(getattr(options, "Rename"), 1)
+        how[0] = getattr(options, "Rename").OVERWRITE
+        at = self.context._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), self.context._jsc.hadoopConfiguration()
+        )
+        at.rename(fs.makeQualified(part), fs.makeQualified(where), how)
 
     def exists(self, path: str) -> bool:
         fs, where = self._at(path)

@@ -98,3 +98,20 @@ def test_recordings(spark):
     assert {r.key: r.cluster for r in clusters.collect()} == {"p1": "p1", "p2": "p1", "p3": "p3", "p4": "p4"}
     merged = {r.cluster: r for r in events.merged_recordings(releases, clusters).collect()}
     assert merged["p1"].label == "L" and merged["p1"].catalogue_number == "A 1" and list(merged["p1"].mentions) == [1, 2, 6]
+
+
+def test_a_performers_first_release_links_the_others(spark):
+    release = lambda key, number, people: {"_kind": "recording", "record_key": key, "title": "Nocturnes!", "catalogue_number": number, "artists": [{"name": n} for n in people]}
+    rows = [(1, "d", release("a", "1", ["Ann"])), (2, "d", release("b", "2", ["Ann"])), (3, "d", release("c", "2", ["Ann"]))]
+    rows += [(4, "d", release("d", "3", ["Cy", "Bo"])), (5, "d", release("e", None, ["Bo"])), (6, "d", release("f", "4", ["Bo", "Cy"]))]
+    got = {r.key: r.cluster for r in events.recording_clusters(*events.recordings(mentions(spark, rows))).collect()}
+    assert got == {"a": "a", "b": "b", "c": "c", "d": "d", "e": "d", "f": "f"}
+
+
+def test_parts_of_different_parents_differ(spark):
+    rows = [(1, "Allegro, excerpt from K. 550"), (2, "Allegro, excerpt from K. 551"), (3, "Allegro, excerpt")]
+    f = [r.f.asDict() for r in frame(spark, rows).orderBy("id").collect()]
+    assert works._py_identifier(f[0], f[1]) == works.CONFLICT and works._py_identifier(f[0], f[2]) is None
+    both = frame(spark, rows[:1]).select(F.col("f").alias("a")).crossJoin(frame(spark, rows[1:]).select("id", F.col("f").alias("b")))
+    got = {r.id: r.s for r in both.select("id", works.identifier_score(F.col("a"), F.col("b")).alias("s")).collect()}
+    assert got == {2: works.CONFLICT, 3: None}
