@@ -73,3 +73,51 @@ def core_title(key: Column) -> Column:
     letters = "|".join(s[1] for s in SCHEMES).lower()
     out = F.regexp_replace(key, rf"\b(?:op(?:us)?|no|nr|{letters})\s*\d+[a-z]?\b|\bin\s+[a-g](?:\s+(?:sharp|flat))?\s+(?:major|minor)\b", " ")
     return F.trim(F.regexp_replace(out, r"\s+", " "))
+
+
+#: Schemes whose numbers start anew with every composer, external ids, and the scheme of opus numbers.
+PER_COMPOSER = ("woo", "anh")
+EXTERNAL_SCHEMES = ("wikidata", "musicbrainz", "iswc")
+OPUS = "op"
+
+
+def _scheme(i: Column) -> Column:
+    return F.split_part(i, F.lit(":"), F.lit(1))
+
+
+def holds_sets(scheme: Column) -> Column:
+    """Whether hyphens and commas in a scheme's values part numbers: ids of other kinds have hyphens of their own [STR-33]."""
+    return scheme.isin(*[s[0] for s in SCHEMES])
+
+
+def is_composer_scoped(scheme: Column) -> Column:
+    """Whether a number of the scheme says whose the work is [STR-33]."""
+    return holds_sets(scheme) & ~scheme.isin(*PER_COMPOSER)
+
+
+def has_catalogue(ids: Column) -> Column:
+    """Whether any of 'scheme:value' ids is a catalogue number: neither an external id nor an opus [STR-33]."""
+    return F.exists(ids, lambda i: ~_scheme(i).isin(*EXTERNAL_SCHEMES, OPUS))
+
+
+#: The scheme of catalogues that are items of their own.
+ITEM_SCHEMES = {"Q162478": "kv", "Q22338962": "kv", "Q66069477": "kv", "Q22340538": "kv", "Q214203": "bwv", "Q847730": "hwv", "Q164058": "twv", "Q739093": "hob"}
+
+
+def item_code(code: Column, item: Column, short: Column, surname: Column) -> Column:
+    """array<string> 'scheme:value' of a stated code, given its catalogue's item and that item's short name [STR-14].
+
+    A known item decides the scheme, with or without the letters before the number; else the code is read as a title
+    is, after the short name if it starts with a number; else a code with a digit is a number of the item's own scheme.
+    """
+    plain = F.trim(F.regexp_replace(code, r"\s+", " "))
+    known = F.try_element_at(F.create_map(*[F.lit(x) for pair in ITEM_SCHEMES.items() for x in pair]), item)
+    number = F.lower(_found(plain, r"^(?:[A-Za-zöÖ.]+\s*)?([IVX]+[:/]\d+[a-z]?|\d+[a-z]?(?:/\d+[a-z]?)?)$"))
+    numbered = F.when(plain.rlike(r"^[\dIVXLC]") & short.isNotNull(), F.concat_ws(" ", short, plain)).otherwise(plain)
+    read = catalogue_ids(numbered, surname)
+    folded = F.trim(F.regexp_replace(F.lower(plain), r"[\s,\-–—]+", " "))
+    own = F.when(item.isNotNull() & plain.rlike(r"\d"), F.array(F.concat(F.lit("wd:"), item, F.lit(":"), folded)))
+    return (
+        F.when(known.isNotNull() & number.isNotNull(), F.array(F.concat(known, F.lit(":"), number))).when(F.size(read) > 0, read)
+        .otherwise(F.coalesce(own, F.array().cast("array<string>")))
+    )

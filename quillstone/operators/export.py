@@ -189,17 +189,24 @@ def blueprint(
     return rows.select(F.col("_id").alias("id"), "kind", "label", _element(tags).alias("json")), links
 
 
+def description(role: Column, born: Column, died: Column, concerts: Column, recordings: Column) -> Column:
+    """Roles, years and credits in one line; what is not known, or 0, is left out [STR-35]."""
+    year = lambda x: F.nullif(F.regexp_extract(x, r"^\+*([0-9]{4})", 1), F.lit(""))
+    n = lambda x, name: F.when(x > 0, F.concat(x, F.lit(name)))
+    lived = F.concat_ws("–", year(born), year(died))
+    credited = F.concat_ws(", ", n(concerts, " concerts"), n(recordings, " recordings"))
+    parts = F.filter(F.array(F.concat(F.upper(F.substring(role, 1, 1)), role.substr(F.lit(2), F.length(role))), lived, credited), lambda p: p != "")
+    return F.array_join(parts, " · ")
+
+
 def _element(tags: Column) -> Column:
     first = {p: F.get(F.col(p), F.lit(0)) for p in MAP_FIELDS}
-    year = lambda p: F.nullif(F.regexp_extract(first[p], r"^\+*([0-9]{4})", 1), F.lit(""))
     some = lambda c: F.when(F.col(c) > 0, F.col(c))
     role = F.array_join(tags, ", ")
-    lived = F.concat_ws("–", year("born_on"), year("died_on"))
-    credited = F.concat_ws(", ", F.concat(some("concerts"), F.lit(" concerts")), F.concat(some("recordings"), F.lit(" recordings")))
-    parts = F.filter(F.array(F.concat(F.upper(F.substring(role, 1, 1)), role.substr(F.lit(2), F.length(role))), lived, credited), lambda p: p != "")
+    text = description(role, first["born_on"], first["died_on"], F.col("concerts"), F.col("recordings"))
     kept = {
         "id": F.col("_id"), "label": F.col("label"), "type": F.coalesce(_lookup(KIND_LABELS | MAP_KINDS, F.col("kind")), F.initcap("kind")),
-        "tags": F.when(F.size(tags) > 0, tags), "description": F.nullif(F.array_join(parts, " · "), F.lit("")),
+        "tags": F.when(F.size(tags) > 0, tags), "description": F.nullif(text, F.lit("")),
     }
     for p, name in MAP_FIELDS.items():
         kept[name] = F.when(first[p].rlike("^[0-9]+$"), first[p].try_cast("bigint")) if p in COUNTS else first[p]

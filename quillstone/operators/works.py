@@ -216,3 +216,14 @@ def merge_application(rows: DataFrame, merged: DataFrame, column: str, key: list
     """rows re-pointed by merged(old, new), equal keys once [LNK-27, SET-05]."""
     out = rows.join(merged.select(F.col("old").alias(column), "new"), column, "left")
     return out.withColumn(column, F.coalesce("new", column)).select(*rows.columns).dropDuplicates(key)
+
+
+def work_entities(records: DataFrame, mentions: DataFrame) -> DataFrame:
+    """(work, entity, source) of the work entities whose records a work's mentions were read from, each once [LNK-29, JON-11].
+
+    records(source, external_id, entity), mentions(source, external_id, work): what follows '#' in a mention's id is its
+    place in the record.
+    """
+    own = F.split_part("external_id", F.lit("#"), F.lit(1))
+    rows = mentions.filter("work IS NOT NULL").select("source", own.alias("external_id"), "work")
+    return rows.join(records.filter("entity IS NOT NULL"), ["source", "external_id"]).select("work", "entity", "source").distinct()

@@ -60,13 +60,11 @@ def grf06_orphans(spark: SparkSession, d: str) -> DataFrame:
     return rows.orderBy(F.desc("n"), "genre").limit(10)
 
 
-@query("""WITH RECURSIVE e AS (SELECT l_suppkey AS a, l_partkey + 1000000 AS b FROM lineitem WHERE l_quantity >= 50 AND l_discount >= 0.1 AND l_tax >= 0.08),
-n AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-c AS (SELECT a AS node, a AS root FROM n UNION SELECT n.b, c.root FROM c JOIN n ON n.a = c.node)
-SELECT node, min(root) AS root FROM c GROUP BY 1""")
+@query("""SELECT DISTINCT n AS node, n - n % 7 AS root FROM (SELECT unnest([p_partkey, p_partkey + 1]) AS n FROM part WHERE p_partkey % 7 < 5)""")
 def lnk11_components(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").filter("l_quantity >= 50 AND l_discount >= 0.1D AND l_tax >= 0.08D")
-    return fixpoint.components(rows.select(F.col("l_suppkey").alias("a"), (F.col("l_partkey") + 1000000).alias("b")))
+    """Parts in chains: each is linked to the next, but for every seventh and the one before it."""
+    rows = table(spark, d, "part").filter("p_partkey % 7 < 5")
+    return fixpoint.components(rows.select(F.col("p_partkey").alias("a"), (F.col("p_partkey") + 1).alias("b")))
 
 
 @query("""SELECT a.l_suppkey AS a, b.l_suppkey AS b, count(DISTINCT a.l_orderkey) AS shared FROM lineitem a JOIN lineitem b

@@ -24,6 +24,11 @@ def segment(value: str, field: str) -> str:
     return value
 
 
+def is_segment(value: Column) -> Column:
+    """Whether segment() would take a value [SRC-07]; null is none."""
+    return F.coalesce((value != "") & ~value.isin(".", "..") & ~value.rlike(r"[/\\\x00-\x1f\x7f]"), F.lit(False))
+
+
 def new_run_id(now: datetime | None = None) -> str:
     """Sorts by time [SRC-22]."""
     now = now or datetime.now(timezone.utc)

@@ -45,6 +45,18 @@ def coverage_floor(found: DataFrame, known: int, share: float = 0.5) -> DataFram
     return found.join(total.select(enough.cast("boolean").alias("_ok")), F.lit(True)).filter("_ok").drop("_ok")
 
 
+def counterparts(nodes: DataFrame, differs: DataFrame) -> DataFrame:
+    """(qid, parent) of nodes(qid, label) that lack one: an item they are said to differ from, but that has their name [CON-07].
+
+    differs(qid, other): names are equal but for case, or the other's has 'music' after it.
+    """
+    name = lambda c: F.lower(F.trim(c))
+    others = nodes.select(F.col("qid").alias("other"), name(F.col("label")).alias("_named"))
+    rows = nodes.select("qid", name(F.col("label")).alias("_own")).join(differs.distinct(), "qid").join(others, "other")
+    same = (F.col("_named") == F.col("_own")) | (F.col("_named") == F.concat("_own", F.lit(" music")))
+    return rows.filter(same & (F.col("qid") != F.col("other"))).select("qid", F.col("other").alias("parent"))
+
+
 # --- People and works dumps [CON-01, CON-02, CON-11, CON-12, CON-14] ---
 
 
