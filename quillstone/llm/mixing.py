@@ -83,22 +83,26 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
 
 
 def _sized(docs: DataFrame, rules: MixRules, *carried: str) -> DataFrame:
-    """Each row's words, and its place in the fixed random order: _key, of which _range is the beginning."""
+    """Each row's words, its place in the fixed random order (_key, of which _range is the beginning), and QUEUE's columns."""
     key = F.md5(F.concat(F.lit(rules.seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"), *carried)
-    return rows.withColumn("_range", F.substring("_key", 1, 3))
+    none = F.col("source").isNull()
+    return rows.withColumns({"_none": none, "_source": F.coalesce("source", F.lit("")), "_range": F.substring("_key", 1, 3)})
+
+
+#: What tells the parts of the queues apart. The window and the join go by these, so that rows move once for both.
+QUEUE = ("_none", "_source", "_range")
 
 
 def _starts(sized: DataFrame, rules: MixRules) -> DataFrame:
-    """Of each range of a source: the words queued before it, and the source's size, target and target in whole words."""
-    by_range = sized.groupBy("source", "_range").agg(F.sum("size").alias("_words"))
+    """Of each part of a queue: the words queued before it, and the source's size, target and target in whole words."""
+    by_range = sized.groupBy("source", *QUEUE).agg(F.sum("size").alias("_words"))
     targets = source_targets(by_range.groupBy("source").agg(F.sum("_words").alias("source_size")), rules)
     ranges = by_range.withColumn(
-        "_start", F.sum("_words").over(Window.partitionBy("source").orderBy("_range")) - F.col("_words")
+        "_start", F.sum("_words").over(Window.partitionBy("_none", "_source").orderBy("_range")) - F.col("_words")
     )
     both = ranges.join(targets, ranges["source"].eqNullSafe(targets["source"]))
-    words = F.round("target").cast("long").alias("words")
-    return both.select(ranges["source"].alias("_source"), ranges["_range"].alias("_at"), "_start", "source_size", "target", words)
+    return both.select(*QUEUE, "_start", "source_size", "target", F.round("target").cast("long").alias("words"))
 
 
 def _queued(sized: DataFrame, starts: DataFrame, *carried: str) -> DataFrame:
@@ -106,10 +110,9 @@ def _queued(sized: DataFrame, starts: DataFrame, *carried: str) -> DataFrame:
 
     Columns carried stay; the first of them breaks ties of the queue.
     """
-    queue = Window.partitionBy("source", "_range").orderBy("_key", "size", F.col("doc_id").asc_nulls_last(), *carried[:1])
+    queue = Window.partitionBy(*QUEUE).orderBy("_key", "size", F.col("doc_id").asc_nulls_last(), *carried[:1])
     before = F.sum("size").over(queue.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    rows = sized.withColumn("_before", before)
-    rows = rows.join(starts, rows["source"].eqNullSafe(starts["_source"]) & (rows["_range"] == starts["_at"]))
+    rows = sized.withColumn("_before", before).join(starts, list(QUEUE))
     start = (F.col("_start") + F.col("_before")).alias("start")
     return rows.select("doc_id", "source", "size", "source_size", "target", "words", start, *carried)
 
