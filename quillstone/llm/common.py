@@ -42,7 +42,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.root = spark, f"{scratch_root(spark)}/quillstone/{name}-{uuid.uuid4().hex}"
-        self.count = 0
+        self.count, self.paths = 0, []
 
     def save(self, df: DataFrame, label: str) -> DataFrame:
         self.count += 1
@@ -50,15 +50,25 @@ class Scratch:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
+        self.paths.append(path)
         return out
 
     def drop(self, df: DataFrame | None) -> None:
         """Deletes a saved table that no later plan reads."""
         path = getattr(df, "_scratch_path", None)
         if path:
-            jvm = self.spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            self._delete(path)
+
+    def keep(self, *frames: DataFrame) -> None:
+        """Deletes all saved tables but these: plans made from others must have been written by now."""
+        for path in set(self.paths) - {df._scratch_path for df in frames}:
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        if path in self.paths:
+            self.paths.remove(path)
 
 
 def word_count(text: Column) -> Column:

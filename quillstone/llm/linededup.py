@@ -105,6 +105,7 @@ def repeated_runs(docs: DataFrame, rules: LineRules, scratch: Scratch) -> DataFr
     groups = runs.groupBy("n", "r1", "r2").agg(F.count("*").alias("copies"), F.min(place).alias("earliest"))
     # Written first, so that the join's sides are plain shuffles, whose large partitions Spark can split.
     groups = scratch.save(groups.filter("copies > 1").drop("copies"), "groups")
+    scratch.keep(runs, groups)
     later = runs.join(groups, ["n", "r1", "r2"]).filter(place != F.col("earliest"))
     return _merged(later.select(*DOC, "a", (F.col("a") + F.col("n")).alias("b")))
 

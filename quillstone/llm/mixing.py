@@ -61,6 +61,7 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     starts = scratch.save(_starts(sized, rules), "starts")
     rows = scratch.save(_queued(sized, starts), "queue")
     out = rows.withColumn("taken", _taken(rules, _end_time(rows, rules, scratch)))
+    scratch.keep(rows)
     out = out.withColumn("finish", _finish(F.col("start") + F.col("size")))
     out = out.select("doc_id", "source", "size", "source_size", "target", "taken", "finish")
     return out.orderBy(F.col("finish").asc_nulls_last(), F.col("source").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
@@ -77,6 +78,7 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     sized = scratch.save(_sized(rows.drop("_row"), rules, "_text"), "sized")
     starts = scratch.save(_starts(sized, rules), "starts")
     end = _end_time(_queued(sized, starts, "_text"), rules, scratch)
+    scratch.keep(starts)
     taken = _queued(_sized(rows, rules, "_text", "_row"), starts, "_text", "_row").withColumn("taken", _taken(rules, end))
     copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
     return taken.filter("taken > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select("_row.*")

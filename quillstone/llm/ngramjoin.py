@@ -218,6 +218,7 @@ def _classes(docs: DataFrame, rules: JoinRules) -> tuple[DataFrame, DataFrame, l
     linked = _links(docs, classes, rules, scratch)
     heads = classes.select("node", "set_key", "size", "first").join(linked, "node", "left")
     heads = scratch.save(heads.withColumn("near", F.coalesce("near", "node")), "heads")
+    scratch.keep(signed, heads)
     return signed, heads, hot
 
 
@@ -298,7 +299,8 @@ def _links(docs: DataFrame, classes: DataFrame, rules: JoinRules, scratch: Scrat
     blocks = pairs = None
     if not large.isEmpty():
         blocks, pairs = _blocks(wanted, large, stars, rules, scratch)
-    found = _compared(docs, wanted, count, max(count // rules.bin_rows, volume // rules.bin_bytes) + 1, blocks, pairs, rules)
+    bins = max(count // rules.bin_rows, volume // rules.bin_bytes) + 1
+    found = _compared(docs, wanted, count, bins, blocks, pairs, rules, scratch)
     found = scratch.save(found, "found")
     crossing = found.filter("not final and near <> node").select(F.col("node").alias("a"), F.col("near").alias("b"))
     merged = components(crossing, save, scratch.drop)
@@ -333,8 +335,9 @@ def _blocks(
 
 
 def _compared(
-    docs: DataFrame, wanted: DataFrame, count: int, bins: int, blocks: DataFrame | None, pairs: DataFrame | None, rules: JoinRules
-) -> DataFrame:
+    docs: DataFrame, wanted: DataFrame, count: int, bins: int, blocks: DataFrame | None, pairs: DataFrame | None,
+    rules: JoinRules, scratch: Scratch,
+) -> DataFrame:
     """LINKED's rows: the classes of each small component, and of each pair of blocks, by their full sets."""
     small = count <= rules.broadcast_rows
     keys = ["none", "id", "text_key"]
@@ -359,7 +362,7 @@ def _compared(
     elif small:
         rows = rows.join(F.broadcast(pairs), "block", "left")
     else:
-        rows = Scratch(docs.sparkSession, "ngramjoin-sets").save(rows, "sets")
+        rows = scratch.save(rows, "sets")
         met = rows.join(pairs, "block")
         rows = met.unionByName(rows.filter("block is null").withColumns({"p": none, "q": none}))
     rows = rows.withColumn("g", F.when(F.col("p").isNull(), F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(-1))

@@ -217,7 +217,8 @@ def train(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRul
     ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(rules.sample_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
     rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).repartition(rules.sample_parts)
-    rows = Scratch(docs.sparkSession, "toxicity").save(rows, "sample")
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    rows = scratch.save(rows, "sample")
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     none = np.empty(0, np.int64)
@@ -231,6 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRul
             usual = max(1.0, float(np.median([len(x) for x in held])))
             fitted, bias = _fit(held, label, features.ratio, usual, rules)
             weights = fitted * features.ratio
+    scratch.keep()
     return ToxicityModel(features, weights, bias, usual, rules)
 
 

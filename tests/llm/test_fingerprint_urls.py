@@ -153,8 +153,13 @@ def test_suffixes_count_all_labelled_urls(spark):
     scores = []
     for bound in (10, 0):
         model = urls.train(frame, urls.UrlModelRules(trees=2, sample_rows=30, broadcast_rows=bound))
-        got = {r._key: (r.suffix_rows, r.suffix_rate) for r in model.suffixes.collect()}
+        filled = lambda own=None: urls._with_suffix(urls.lexical(frame), model.suffixes, model.small, model.rate, 20.0, own)
+        got = {r._suffix: (r.suffix_rows, r.suffix_rate) for r in filled().collect()}
         want = {"rare": (10, 10), "com": (390, 70)}
-        assert got == {k: pytest.approx((np.log1p(n), (ones + 20 * 0.2) / (n + 20))) for k, (n, ones) in want.items()}
+        statistics = lambda n, ones: pytest.approx((np.log1p(n), (ones + 20 * 0.2) / (n + 20)))
+        assert got == {k: statistics(n, ones) for k, (n, ones) in want.items()}
+        for r in filled(F.col("label")).collect():  # what the trees learn from: all but the URL itself
+            n, ones = want[r._suffix]
+            assert (r.suffix_rows, r.suffix_rate) == statistics(n - 1, ones - r.label)
         scores.append({r.url: r.score for r in model.score(frame).collect()})
     assert scores[0] == scores[1] and len(scores[0]) == len(rows)
