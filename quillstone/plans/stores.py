@@ -303,7 +303,7 @@ def _counts(spark: SparkSession, d: str) -> DataFrame:
 
 _RULES = promote.EvidenceRules(min_concerts=1, min_recordings=1, min_credits=1, min_sitelinks=2000, min_referrers=2)
 _KEPT = """WITH k AS (SELECT s_suppkey AS root FROM supplier WHERE s_suppkey % 2 = 0 AND s_acctbal >= 2000),
-c AS (SELECT min(s_suppkey) AS id, s_suppkey - s_suppkey % 2 AS root, s_nationkey + 1000000000 AS object FROM supplier GROUP BY 2, 3), p AS (SELECT object FROM c JOIN k USING (root) GROUP BY 1 HAVING count(DISTINCT root) >= 2)"""
+c AS (SELECT min(s_suppkey) AS id, s_suppkey - s_suppkey % 2 AS root, CAST(s_nationkey + 1000000000 AS BIGINT) AS object FROM supplier GROUP BY 2, 3), p AS (SELECT object FROM c JOIN k USING (root) GROUP BY 1 HAVING count(DISTINCT root) >= 2)"""
 
 
 @query(f"""{_KEPT} SELECT root AS node FROM k UNION ALL SELECT object FROM p""")
