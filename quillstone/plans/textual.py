@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import text as X
+from quillstone.operators.spread import pairs_within
 from quillstone.plans.views import table
 from quillstone.sources import connectors
 
@@ -45,8 +46,8 @@ def str02_title_key(spark: SparkSession, d: str) -> DataFrame:
 WHEN abs(a.p_size - b.p_size) <= 10 THEN 2 ELSE 3 END AS level FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_partkey < b.p_partkey""")
 def str06_year_level(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "part").select("p_name", "p_partkey", "p_size")
-    a, b = rows.toDF("p_name", "a", "x"), rows.toDF("p_name", "b", "y")
-    return a.join(b, "p_name").filter("a < b").select("a", "b", X.year_level(F.col("x"), F.col("y")).alias("level"))
+    rows = pairs_within(rows, ["p_name"], "p_partkey")
+    return rows.select(F.col("p_partkey_a").alias("a"), F.col("p_partkey_b").alias("b"), X.year_level(F.col("p_size_a"), F.col("p_size_b")).alias("level"))
 
 
 @query("""SELECT p_partkey, regexp_replace(lower(p_brand || '-' || p_type), '[^a-z0-9]', '', 'g') AS key FROM part""")
