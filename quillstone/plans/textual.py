@@ -137,7 +137,7 @@ def str31_name_uuid(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT c_nationkey AS entity, string_agg(DISTINCT upper(c_mktsegment), ',' ORDER BY upper(c_mktsegment)) AS spellings FROM customer GROUP BY 1""")
 def agg14_distinct_spellings(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("entity"))
-    both = F.flatten(F.array(F.array_sort(F.collect_list("c_mktsegment")), F.array_sort(F.collect_list(F.lower("c_mktsegment")))))
+    both = F.flatten(F.array(F.array_sort(F.collect_set("c_mktsegment")), F.array_sort(F.collect_set(F.lower("c_mktsegment")))))
     return rows.agg(F.array_join(X.distinct_spellings(both), ",").alias("spellings"))
 
 
