@@ -196,8 +196,10 @@ def enclosing_sets(works: DataFrame) -> DataFrame:
     """(work, parent): a numbered work's smallest range that holds its number [LNK-28, JON-14]. works(work, scheme, low, high)"""
     ranges = works.filter("high > low")
     members = ranges.select("scheme", F.explode(F.sequence("low", "high")).alias("number"), F.col("work").alias("parent"), (F.col("high") - F.col("low")).alias("width"))
+    # One row a number before works meet it: what a number's smallest range is does not hang on who asks.
+    best = members.groupBy("scheme", "number").agg(F.min(F.struct("width", "parent")).alias("_best"))
     single = works.filter("high = low").select("work", "scheme", F.col("low").alias("number"))
-    return single.join(members, ["scheme", "number"]).groupBy("work").agg(F.min_by("parent", F.struct("width", "parent")).alias("parent"))
+    return single.join(best, ["scheme", "number"]).groupBy("work").agg(F.min("_best").alias("_best")).select("work", F.col("_best.parent").alias("parent"))
 
 
 def catalogue_parents(derived: DataFrame, identifiers: DataFrame) -> DataFrame:
