@@ -75,13 +75,13 @@ def surviving_claims(claims: DataFrame, nodes: DataFrame) -> DataFrame:
     """Claims of kept subjects whose object is kept, or a literal [GLD-07, GLD-08]."""
     keep = nodes.select(F.col("node").alias("subject"))
     out = claims.join(keep, "subject", "left_semi")
-    to = nodes.select(F.col("node").alias("object"), F.lit(True).alias("_kept"))
+    to = nodes.select(F.col("node").alias("object"), F.lit(True).alias("_kept")).distinct()
     out = out.join(to, "object", "left").filter(F.col("object").isNull() | F.col("_kept"))
     return out.select(*claims.columns)
 
 
 def nulled(rows: DataFrame, column: str, nodes: DataFrame) -> DataFrame:
     """rows with column null where it points to nothing kept [GLD-10, GLD-12]."""
-    to = nodes.select(F.col("node").alias(column), F.lit(True).alias("_kept"))
+    to = nodes.select(F.col("node").alias(column), F.lit(True).alias("_kept")).distinct()
     out = rows.join(to, column, "left").withColumn(column, F.when(F.col("_kept"), F.col(column)))
     return out.select(*rows.columns)
