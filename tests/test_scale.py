@@ -55,7 +55,7 @@ def test_pairs_within_equal_brute_force(spark, monkeypatch, keys):
 
 
 @pytest.mark.parametrize(
-    "query", [people.lnk07_orientation, people.lnk08_undecided, people.lnk13_upgraded, people.jon13_pairs_within_groups, textual.str06_year_level, linking.lnk38_shared_given_bits, linking.lnk16_labels]
+    "query", [people.lnk07_orientation, people.lnk08_undecided, people.lnk13_upgraded, people.jon13_pairs_within_groups, textual.str06_year_level, linking.lnk38_shared_given_bits, linking.lnk16_labels, linking.lnk05_pair_scores, linking.lnk21_identifier_scores]
 )
 def test_no_task_makes_most_pairs_of_a_name(spark, monkeypatch, one_name, query):
     monkeypatch.setattr(spread, "BLOCK", 64, raising=False)
