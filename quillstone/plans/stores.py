@@ -13,7 +13,7 @@ from quillstone.operators import relational as R
 from quillstone.operators.spread import pairs_within
 from quillstone.plans.views import participants, programmed, table
 from quillstone.schemas import DOCUMENT
-from quillstone.sources import bronze, exports, jdbc
+from quillstone.sources import bronze, exports, sqlite
 from quillstone.sources.build import Build
 from quillstone.sources.workspace import shared_folder
 
@@ -127,11 +127,10 @@ def src22_single_snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT p_partkey, p_name, p_size FROM part""")
 def src09_table_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Through a relational database and back: batched inserts, then a scan in ranges of the key [SRC-09, SRC-10, SRC-11]."""
-    url = "jdbc:derby:memory:" + shared_folder(spark, "src09").rpartition("/")[2]
-    jdbc.write_table(table(spark, d, "part").select("p_partkey", "p_name", "p_size"), f"{url};create=true", "PART")
-    rows = jdbc.read_table(spark, url, "PART", "P_PARTKEY")
-    return rows.select(*[F.col(c).alias(c.lower()) for c in rows.columns])
+    """Through relational databases and back: batched inserts, then a scan in ranges of the key [SRC-09, SRC-10, SRC-11]."""
+    path, rows = shared_folder(spark, "src09"), table(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    sqlite.write_table(rows, path, "part", "p_partkey")
+    return sqlite.read_table(spark, path, "part", rows.schema, "p_partkey")
 
 
 @query("""SELECT p_partkey AS id, 'second' AS build, (SELECT count(*) FROM part) AS n FROM part""")

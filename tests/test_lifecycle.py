@@ -1,10 +1,16 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pyspark
 import pytest
 from pyspark.sql import functions as F
 
 from quillstone.functions import payloads, titles
 from quillstone.operators import ingest, lifecycle, persons
 from quillstone.schemas import DOCUMENT
-from quillstone.sources import bronze, connectors, jdbc, workspace
+from quillstone.sources import bronze, connectors, jdbc, sqlite, workspace
 from quillstone.sources.build import Build
 
 
@@ -92,6 +98,46 @@ def test_tables_go_through_a_database(spark, tmp_path):
     assert jdbc.read_table(spark, url, "E", "K").count() == 0
 
 
+def test_databases_below_a_folder_hold_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sqlite, "DATABASE_BYTES", 1)
+    monkeypatch.setattr(sqlite, "INSERT_ROWS", 7)
+    held = [(i - 20, None if i == 3 else f"n{i}\0é", i % 5, bytes([i])) for i in range(50)] + [(None, "x", None, None)] * 2
+    rows = spark.createDataFrame(held, 'k long, `a "name"` string, v int, b binary')
+    sqlite.write_table(rows, f"file://{tmp_path}", "t", "k")
+    assert spark.read.parquet(f"{tmp_path}/t").count() > 4
+    for low, high in ((None, None), (None, 3), (3, None), (-5, 11), (40, 50)):
+        want = [r for r in held if (low is None if r[0] is None else (low is None or r[0] >= low) and (high is None or r[0] < high))]
+        got = sqlite.read_table(spark, f"file://{tmp_path}", "t", rows.schema, "k", low, high).collect()
+        assert sorted(repr((*r[:3], r[3] and bytes(r[3]))) for r in got) == sorted(map(repr, want))
+    sqlite.write_table(rows.limit(0), f"file://{tmp_path}", "e", "k")
+    assert sqlite.read_table(spark, f"file://{tmp_path}", "e", rows.schema, "k").count() == 0
+    with pytest.raises(ValueError):
+        sqlite.write_table(rows.withColumn("d", F.lit(1.0)), f"file://{tmp_path}", "d", "k")
+
+
+CLUSTER = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+import __spark_entry__
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.checkpoint.dir", f"file://{sys.argv[1]}/shared").config("spark.ui.enabled", "false").getOrCreate()
+k = F.col("id")
+spark.range(0, 3000, 1, 8).select(k.alias("p_partkey"), F.concat(F.lit("n"), k % 7).alias("p_name"), (k % 50).cast("int").alias("p_size")).write.parquet(f"{sys.argv[1]}/part.parquet")
+rows = __spark_entry__.queries()["src09_table_scan"](spark, sys.argv[1]).collect()
+assert sorted(map(tuple, rows)) == [(i, f"n{i % 7}", i % 50) for i in range(3000)]
+print("whole")
+"""
+
+
+def test_tables_go_through_databases_on_a_cluster(tmp_path):
+    """Executors are JVMs of their own: what one of them holds in memory no other can read."""
+    home = tmp_path / "home"  # executors work below Spark's home
+    home.mkdir()
+    for p in Path(pyspark.__file__).parent.iterdir():
+        (home / p.name).symlink_to(p)
+    done = subprocess.run([sys.executable, "-c", CLUSTER, str(tmp_path)], cwd=Path(__file__).parents[1], env=os.environ | {"SPARK_HOME": str(home), "SPARK_SCALA_VERSION": "2.13", "PYSPARK_PYTHON": sys.executable, "SPARK_LOCAL_IP": "127.0.0.1"}, capture_output=True, text=True, timeout=300)
+    assert done.stdout.split()[-1:] == ["whole"], done.stderr[-3000:]
+
+
 def test_workspace_is_new_each_time(spark):
     assert workspace.shared_folder(spark, "a") != workspace.shared_folder(spark, "a")
 
