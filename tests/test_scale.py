@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import re
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +81,44 @@ def test_a_number_of_many_works_meets_ranges_once(spark):
     assert {tuple(r) for r in got.collect()} == {(i, 1000) for i in range(300)}
 
 
+def test_works_meet_by_identifiers_and_kinds(spark, monkeypatch):
+    """Equal features by the hundred, every way that identifiers settle a pair, and both kinds of cuts."""
+    monkeypatch.setattr(spread, "BLOCK", 16)
+    pick = random.Random(24)
+    some = lambda *values: pick.choice(values)
+    ids = lambda *values: [v for v in values if pick.random() < 0.2]
+    made = lambda: (some("ab", "song of night", "song of day", "night", ""), some(None, "song"), some(None, None, "1", "2"), some(None, 1, 2), some(None, "c minor"), ids("k:1", "k:2", "b:1"), ids("e", "g"), some(None, None, None, "arr"), ids("k:1", "k:2"))
+    stock = [(i, some("c", "c", "d"), made()) for i in range(150)] * 2
+    asked = [(i, some("c", "d", "none", None), made() if i % 9 else None) for i in range(150)] + [(150 + i, "c", stock[0][2]) for i in range(100)]
+    schema = f"id long, composer string, f {works.FEATURES}"
+    have = spark.createDataFrame([(i + 1000 * (k >= 150), c, f) for k, (i, c, f) in enumerate(stock)], schema).select(F.col("id").alias("work"), (-F.col("id")).alias("ordinal"), "composer", "f")
+    want = spark.createDataFrame(asked, schema)
+    names = "core kind opus number key ids externals derivation parents".split()
+    for cuts, few in ((works.WorkCuts(), 20_000), (works.WorkCuts(auto=0.9, review=0.1), 0)):
+        monkeypatch.setattr(works, "BROADCAST_KINDS", few)
+        got = {r.id: (r.status, r.work, r.candidate, r.score and round(r.score, 9)) for r in works.best_matches(want, have, cuts).collect()}
+        assert len(got) == len(asked)
+        for i, c, f in asked:
+            best, at = 0.0, None
+            for k in reversed(range(len(stock))):  # ordinals fall
+                if f is None or stock[k][1] != c:
+                    continue
+                x, y = dict(zip(names, f)), dict(zip(names, stock[k][2]))
+                score = works._py_identifier(x, y)
+                score = works._py_title(x, y, SequenceMatcher(None, x["core"], y["core"]).ratio()) if score is None else score
+                if score > best:
+                    best, at = score, stock[k][0] + 1000 * (k >= 150)
+            status = "auto_matched" if best >= cuts.auto else "needs_review" if best >= cuts.review else "created"
+            seen = best >= cuts.review
+            assert got[i] == (status, at if best >= cuts.auto else None, at if seen else None, round(best, 9) if seen else None)
+
+
+def test_best_matches_number_names_in_parts_and_make_no_pairs_of_a_composer(spark, one_name):
+    got = linking.lnk24_best_matches(spark, one_name)
+    assert "Window" not in plan(got) and not re.search(r"Join \[composer#\d+\]", plan(got))
+    assert got.count() == 700 and got.filter("status = 'auto_matched' AND id % 50 <> 0").agg(F.min("work"), F.max("work")).first() == (1, 1)
+
+
 def test_spellings_are_collected_once(spark, tmp_path):
     spark.range(4000).select(F.lit(1).alias("c_nationkey"), F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
     got = textual.agg14_distinct_spellings(spark, str(tmp_path))
