@@ -37,16 +37,17 @@ LEXICAL = FEATURES[:-2]
 
 @dataclass(frozen=True)
 class UrlModelRules:
-    """sample_rows bounds the URLs that the models are fitted on; suffix statistics count all labelled URLs.
+    """sample_rows, if set, bounds the labelled URLs that the trees are fitted on; all else counts all URLs.
 
     broadcast_rows: suffixes up to this number are broadcast to the URLs; more are joined by shuffling both.
 
     folds: groups of seed words of which each is kept from one model of what seeds look like. alike: share of a group
     that sets its mark. rounds: times that the models are fitted anew without the URLs found so far. features: what each
-    split of a tree chooses from, so that the trees do not all hang on one of several features that seeds share.
+    split of a tree chooses from, so that the trees do not all hang on one of several features that seeds share. grain:
+    log odds are counted in steps of this size, relative beyond 1, to find their percentiles.
     """
 
-    sample_rows: int = 8000
+    sample_rows: int | None = None
     trees: int = 20
     depth: int = 4
     step: float = 0.2
@@ -59,6 +60,7 @@ class UrlModelRules:
     ridge: float = 0.01
     rounds: int = 3
     features: str = "onethird"
+    grain: float = 1e-4
 
 
 def host_of(url: Column) -> Column:
@@ -160,8 +162,8 @@ def _with_suffix(rows: DataFrame, suffixes: DataFrame, small: bool, rate: float,
 def train(labelled: DataFrame, rules: UrlModelRules = UrlModelRules()) -> UrlModel | None:
     """Trees from labelled(url, host, path, label); None if the labels are all alike, or there are none.
 
-    Suffixes are counted over all labelled URLs, for each URL that the trees learn from without itself; they are fitted on the sample_rows rows first by hash of the URL,
-    so that reruns agree. Null labels are left out.
+    Suffixes are counted over all labelled URLs, for each URL that the trees learn from without itself. The trees are
+    fitted on all of them too, or on the sample_rows first by hash of the URL if rules say so. Null labels are left out.
     """
     scratch = Scratch(labelled.sparkSession, "urls")
     known = labelled.filter(F.col("label").isNotNull())
@@ -173,73 +175,78 @@ def train(labelled: DataFrame, rules: UrlModelRules = UrlModelRules()) -> UrlMod
     suffixes = known.groupBy(_suffix_of(F.col("host")).alias("_key")).agg(F.count("*").alias("_n"), F.sum("label").alias("_ones"))
     suffixes = scratch.save(suffixes, "suffixes")
     small = suffixes.count() <= rules.broadcast_rows
-    sample = lexical(_first_rows(known, rules.sample_rows)).cache()
     try:
-        n, positive = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+        some, n, positive = known, all_rows, all_ones
+        if rules.sample_rows is not None:
+            some = known.orderBy(F.xxhash64("url"), "url", "label").limit(rules.sample_rows)
+            n, positive = some.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
         if not 0 < positive < n:
             return None
-        rows = _with_suffix(sample, suffixes, small, rate, prior, F.col("label"))
+        rows = _with_suffix(lexical(some), suffixes, small, rate, prior, F.col("label"))
         rows = VectorAssembler(inputCols=list(FEATURES), outputCol="_features").transform(rows)
         # Both labels weigh the same: how many URLs the seed words happen to name says nothing about the others.
         weight = F.when(F.col("label") == 1, (n - positive) / positive).otherwise(1.0)
+        # Saved, as the trees' fit reads the rows more than once.
+        rows = scratch.save(rows.select("_features", "label", weight.alias("_weight")), "features")
         trees = GBTClassifier(
             featuresCol="_features", labelCol="label", weightCol="_weight", maxIter=rules.trees, maxDepth=rules.depth,
             stepSize=rules.step, featureSubsetStrategy=rules.features, seed=rules.seed,
-        ).fit(rows.select("_features", "label", weight.alias("_weight")))
+        ).fit(rows)
         return UrlModel(suffixes, small, trees, rate, rules)
     finally:
-        sample.unpersist()
         scratch.keep(suffixes)
 
 
-def _first_rows(rows: DataFrame, n: int) -> DataFrame:
-    """The n rows first by hash of the URL, so that reruns agree."""
-    return rows.orderBy(F.xxhash64("url"), "url", *[c for c in ("label", "word") if c in rows.columns]).limit(n)
-
-
 def looks_seeded(rows: DataFrame, rules: UrlModelRules) -> Column:
     """Whether a row looks like the seeds. rows(url, lexical, word): LEXICAL as an array; null words for unseeded URLs.
 
     For each group of words, logistic regression tells the other groups' URLs from the unseeded ones, which are bad ones
     in part. A URL looks like the seeds if it lies beyond the middle between the unseeded URLs' median and the mark that
     most URLs of the words unknown to the model reach; the next round learns without such URLs. With one word alone, the
-    URLs learned from set the mark.
+    URLs learned from set the mark. Models, medians and marks are those of all rows, which are read again for each.
     """
-    sample = _first_rows(rows, rules.sample_rows)
-    sample = sample.select("lexical", array_to_vector("lexical").alias("features"), "word").cache()
-    try:
-        seeds = {r.word: r["count"] for r in sample.groupBy("word").count().collect()}
-        plain, words = seeds.pop(None, 0), sorted(seeds)
-        out = F.lit(False)
-        if not plain or not words:
-            return out
-        n, left_out = min(rules.folds, len(words)), 0
-        for _ in range(rules.rounds):
-            left = sample.filter(F.col("word").isNotNull() | ~out)
-            found = out
-            for fold in range(n):
-                unseen = words[fold::n] if n > 1 else []
-                learned = [w for w in words if w not in unseen]
-                margin = _margin(left, learned, plain / sum(seeds[w] for w in learned), rules)
-                middle = F.percentile(F.when(F.col("word").isNull(), margin), 0.5)
-                mark = F.percentile(F.when(F.col("word").isin(unseen or learned), margin), 1 - rules.alike)
-                middle, mark = sample.agg(middle, mark).first()
-                if mark > middle:
-                    found = found | (margin > (middle + mark) / 2)
-            out = found
-            before, left_out = left_out, sample.filter(F.col("word").isNull() & out).count()
-            if left_out in (before, plain):
-                break
+    seeds = {r.word: r["count"] for r in rows.groupBy("word").count().collect()}
+    plain, words = seeds.pop(None, 0), sorted(seeds)
+    out = F.lit(False)
+    if not plain or not words:
         return out
-    finally:
-        sample.unpersist()
+    n, left_out = min(rules.folds, len(words)), 0
+    for _ in range(rules.rounds):
+        left = rows.filter(F.col("word").isNotNull() | ~out)
+        found = out
+        for fold in range(n):
+            unseen = words[fold::n] if n > 1 else []
+            learned = [w for w in words if w not in unseen]
+            margin = _margin(left, learned, plain / sum(seeds[w] for w in learned), rules)
+            middle, mark = _middle_and_mark(rows, margin, unseen or learned, rules)
+            if mark > middle:
+                found = found | (margin > (middle + mark) / 2)
+        out = found
+        before, left_out = left_out, rows.filter(F.col("word").isNull() & out).count()
+        if left_out in (before, plain):
+            break
+    return out
+
+
+def _middle_and_mark(rows: DataFrame, margin: Column, words: list[str], rules: UrlModelRules) -> tuple[float, float]:
+    """Median margin of the URLs without a word, and the margin that the share alike of the words' URLs reaches.
+
+    Margins are counted in steps of grain, so that no task holds a value for each row.
+    """
+    rows = rows.filter(F.col("word").isNull() | F.col("word").isin(words))
+    step = F.round(F.signum(margin) * F.log1p(F.abs(margin)) / rules.grain).cast("long")
+    counts = rows.groupBy(F.col("word").isNull().alias("plain"), step.alias("step")).agg(F.count("*").alias("n"))
+    value = F.signum("step") * F.expm1(F.abs("step") * rules.grain)
+    middle = F.percentile(F.when(F.col("plain"), value), 0.5, F.col("n"))
+    mark = F.percentile(F.when(~F.col("plain"), value), 1 - rules.alike, F.col("n"))
+    return counts.agg(middle, mark).first()
 
 
 def _margin(left: DataFrame, learned: list[str], weight: float, rules: UrlModelRules) -> Column:
     """Log odds, over LEXICAL, of URLs of the learned words against those without a word."""
     fit = left.filter(F.col("word").isNull() | F.col("word").isin(learned))
     label = F.col("word").isNotNull().cast("double")
-    fit = fit.select("features", label.alias("label"), F.when(label == 1, weight).otherwise(1.0).alias("weight"))
+    fit = fit.select(array_to_vector("lexical").alias("features"), label.alias("label"), F.when(label == 1, weight).otherwise(1.0).alias("weight"))
     model = LogisticRegression(weightCol="weight", regParam=rules.ridge).fit(fit)
     # One expression over arrays for all models: sums of columns would be compiled anew for each.
     times = F.array(*[F.lit(float(x)) for x in model.coefficients.toArray()])
