@@ -66,6 +66,19 @@ def test_no_task_makes_most_pairs_of_a_name(spark, monkeypatch, one_name, query)
     assert len(made) > 4 and max(made) < sum(made) / 2
 
 
+def test_bits_do_not_hang_on_which_part_stands_for_a_name(spark, monkeypatch, one_name):
+    """Executors read a shuffle's parts in any order, so that each use of a plan may keep another row."""
+    nth = F.udf(random.randrange, "int").asNondeterministic()
+
+    def any_of(self, subset):
+        rows = self.groupBy(*subset).agg(F.collect_list(F.struct(*self.columns)).alias("l")).withColumn("n", nth(F.size("l")))
+        return rows.select(F.inline(F.array(F.get("l", F.col("n")))))
+
+    want = linking._labelled(spark, one_name).count()
+    monkeypatch.setattr(type(spark.range(0)), "dropDuplicates", any_of)
+    assert linking.lnk38_shared_given_bits(spark, one_name).count() == want
+
+
 def test_patterns_count_what_pairs_hold(spark, one_name):
     evidence = ["birth_gap", "common_sources", "alias_identity", "same_authority", "label"]
     pairs = linking._labelled(spark, one_name).groupBy(*evidence).agg(F.count("*").alias("n"))
