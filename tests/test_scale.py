@@ -66,6 +66,18 @@ def test_no_task_makes_most_pairs_of_a_name(spark, monkeypatch, one_name, query)
     assert len(made) > 4 and max(made) < sum(made) / 2
 
 
+def test_compiled_code_starts_from_few_pairs(spark, monkeypatch):
+    """All pairs that compiled code makes of its input row are in memory at once."""
+    monkeypatch.setattr(spread, "BLOCK", 40)
+    monkeypatch.setattr(spread, "CHUNK", 7, raising=False)
+    rows = [("ab"[i % 2], i, None if i % 5 == 0 else str(i)) for i in range(150)]
+    got = spread.pairs_within(spark.createDataFrame(rows, "key string, id long, v string"), ["key"], "id").select("id_a", "v_a", "id_b", "v_b")
+    found = [tuple(r) for r in got.collect()]
+    assert set(found) == {(x[1], x[2], y[1], y[2]) for x, y in itertools.combinations(rows, 2) if x[0] == y[0]} and len(found) == len(set(found))
+    cuts = [line for line in plan(got).split("Initial Plan")[0].splitlines() if "Generate explode(transform" in line]
+    assert len(cuts) == 2 and not any("*" in line.split("Generate")[0] for line in cuts)
+
+
 def test_bits_do_not_hang_on_which_part_stands_for_a_name(spark, monkeypatch, one_name):
     """Executors read a shuffle's parts in any order, so that each use of a plan may keep another row."""
     nth = F.udf(random.randrange, "int").asNondeterministic()
