@@ -78,6 +78,13 @@ def test_compiled_code_starts_from_few_pairs(spark, monkeypatch):
     assert len(cuts) == 2 and not any("*" in line.split("Generate")[0] for line in cuts)
 
 
+def test_pair_scores_are_looked_up_by_one_key(spark, one_name):
+    got = linking.lnk05_pair_scores(spark, one_name)
+    assert not re.search(r"Join \[kind_a#\d+L?, kind_b", plan(got))
+    readings = linking._who(spark, one_name)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in readings  # each label is read once, and kept
+
+
 def test_bits_do_not_hang_on_which_part_stands_for_a_name(spark, monkeypatch, one_name):
     """Executors read a shuffle's parts in any order, so that each use of a plan may keep another row."""
     nth = F.udf(random.randrange, "int").asNondeterministic()
